@@ -1,0 +1,11 @@
+"""Readers of the relational store."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..session import table
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return table(spark, sf_dir, name)
