@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe
+from . import bpe, reading
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,3 +29,19 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document by byte_bpe_50k."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode_corpus(docs, "doc_id", "text")
+
+
+@query("p10_found")
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reading level of each document of at least 800 characters."""
+    docs = table(spark, sf_dir, "documents").filter("n_chars >= 800").select("doc_id", "text")
+    graded = reading.reading_levels(docs, table(spark, sf_dir, "reading_labels"))
+    return graded.filter("level is not null").select("doc_id", "level")
+
+
+@query("p10_profile")
+def p10_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and mean estimates of each language and level."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    graded = reading.reading_levels(docs, table(spark, sf_dir, "reading_labels"))
+    return graded.groupBy("language", "level").agg(F.count("*").alias("n_docs"), *[F.round(F.avg(f), 3).alias(f"avg_{f}") for f in reading.FORMULAS])
