@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, reading
+from . import bpe, reading, site_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -45,3 +45,40 @@ def p10_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     graded = reading.reading_levels(docs, table(spark, sf_dir, "reading_labels"))
     return graded.groupBy("language", "level").agg(F.count("*").alias("n_docs"), *[F.round(F.avg(f), 3).alias(f"avg_{f}") for f in reading.FORMULAS])
+
+
+def _web_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    web = table(spark, sf_dir, "segments").filter("page_ref is null").select("segment_id", "document_id", "municipality_id", "text")
+    return site_lines.repeated_lines(web, "segment_id", "document_id", "municipality_id", "text", min_docs=6)
+
+
+_P3_SQL = r"""
+WITH l AS (
+  SELECT DISTINCT segment_id, document_id, municipality_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no,
+         unnest(string_split(text, chr(10))) AS line
+  FROM segments WHERE page_ref IS NULL AND municipality_id IS NOT NULL),
+n AS (
+  SELECT segment_id, document_id, municipality_id, line_no,
+         regexp_replace(trim(regexp_replace(lower(line), '[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g')), '\p{Nd}+', '#', 'g') AS k FROM l),
+f AS (SELECT municipality_id, k FROM n WHERE k <> '' GROUP BY 1, 2 HAVING count(DISTINCT document_id) >= 6)
+SELECT DISTINCT segment_id, CAST(line_no AS INTEGER) AS line_no FROM n JOIN f USING (municipality_id, k)
+""".replace("\\\\", "\\")
+
+
+@query("p3_found", _P3_SQL)
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that stand in at least six documents of their municipality, by the exact count within their cluster."""
+    return _web_lines(spark, sf_dir).filter("line_docs >= 6").select("segment_id", "line_no").distinct()
+
+
+@query("p3_clusters")
+def p3_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each cluster of near-duplicate repeated lines with its documents and places."""
+    return _web_lines(spark, sf_dir).groupBy("municipality_id", "cluster").agg(F.max("cluster_docs").alias("n_docs"), F.count("*").alias("n_places"))
+
+
+@query("p3_clean")
+def p3_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of web segments without the lines repeated in their municipality."""
+    web = table(spark, sf_dir, "segments").filter("page_ref is null")
+    return site_lines.without_lines(web, "segment_id", "text", _web_lines(spark, sf_dir))
