@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, reading, site_lines
+from . import bpe, near_dup, reading, site_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -82,3 +82,20 @@ def p3_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of web segments without the lines repeated in their municipality."""
     web = table(spark, sf_dir, "segments").filter("page_ref is null")
     return site_lines.without_lines(web, "segment_id", "text", _web_lines(spark, sf_dir))
+
+
+def _alike(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    web = table(spark, sf_dir, "segments").filter("page_ref is null").select("segment_id", "document_id", "text")
+    return near_dup.near_duplicates(web, "segment_id", "document_id", "text", k=3, threshold=0.6, min_chars=200)
+
+
+@query("p1_found")
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of web segments of different documents that share at least 0.6 of their three-word sequences."""
+    return near_dup.item_pairs(*_alike(spark, sf_dir)).select(F.col("a").alias("segment_id_a"), F.col("b").alias("segment_id_b"))
+
+
+@query("p1_groups")
+def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each web segment of 200 characters or more with its class of equal texts, its links and its group."""
+    return near_dup.group_labels(*_alike(spark, sf_dir)).withColumnRenamed("item", "segment_id")
