@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, near_dup, reading, site_lines
+from . import bpe, near_dup, nn_descent, reading, site_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -99,3 +99,29 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each web segment of 200 characters or more with its class of equal texts, its links and its group."""
     return near_dup.group_labels(*_alike(spark, sf_dir)).withColumnRenamed("item", "segment_id")
+
+
+@query("p2_found")
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of chunks of which one is among the other's five most similar, with a cosine of at least 0.85."""
+    near = nn_descent.nearest(table(spark, sf_dir, "chunks"), "chunk_id", "embedding", dim=64, k=5)
+    pairs = near.filter("similarity >= 0.85")
+    return pairs.select(F.least("chunk_id", "neighbour").alias("chunk_id_a"), F.greatest("chunk_id", "neighbour").alias("chunk_id_b")).distinct()
+
+
+@query("p2_nearest")
+def p2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five most similar chunks of every usable chunk."""
+    near = nn_descent.nearest(table(spark, sf_dir, "chunks"), "chunk_id", "embedding", dim=64, k=5)
+    return near.withColumn("similarity", F.round("similarity", 3))
+
+
+@query("p2_search")
+def p2_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy graph search: the five best chunks for every vector of ``embeddings`` whose id is divisible by 20."""
+    vectors = nn_descent.stage_table(nn_descent.unit_vectors(table(spark, sf_dir, "chunks"), "chunk_id", "embedding", 64), "vectors")
+    graph = nn_descent.neighbour_graph(vectors, 64)
+    asked = table(spark, sf_dir, "embeddings").filter("vec_id % 20 = 0").select(F.col("vec_id").cast("string").alias("k"), "embedding")
+    asked = nn_descent.unit_vectors(asked, "k", "embedding", 64).select(F.col("key").cast("long").alias("qid"), "q")
+    found = nn_descent.search(graph, vectors, asked, 64)
+    return found.join(vectors.select("id", F.col("key").alias("chunk_id")), "id").select(F.col("qid").alias("vec_id"), "chunk_id", F.round("similarity", 3).alias("similarity"))
