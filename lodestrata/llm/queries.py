@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, main_body, near_dup, nn_descent, reading, site_lines
+from . import bpe, main_body, near_dup, nn_descent, pieces, reading, site_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -157,3 +157,34 @@ def p4_body(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = main_body.main_scores(seg).filter("main >= 0.5").select("item")
     parts = seg.join(kept, "item", "left_semi").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("ord", "item", "text"))).alias("s"))
     return parts.select(F.col("doc").alias("document_id"), F.size("s").alias("n_segments"), F.array_join(F.transform("s", lambda x: x["text"]), "\n").alias("main_text"))
+
+
+def _long_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(kind, item, text, overlap) of the oversized segments and chunks, once each."""
+    seg = pieces.oversized(table(spark, sf_dir, "segments").select("segment_id", "text"), "segment_id", "text").dropDuplicates(["segment_id"])
+    chunk = table(spark, sf_dir, "chunks").select("chunk_id", "segment_id", "chunk_index", "text", "overlap")
+    first = chunk.filter("segment_id is not null").groupBy("segment_id").agg(F.min_by("overlap", F.struct("chunk_index", "chunk_id")).alias("overlap"))
+    long_chunk = pieces.oversized(chunk, "chunk_id", "text").dropDuplicates(["chunk_id"])
+    s = seg.join(first, "segment_id", "left").select(F.lit("segment").alias("item_kind"), F.col("segment_id").alias("item_id"), "text", "overlap")
+    return s.unionByName(long_chunk.select(F.lit("chunk").alias("item_kind"), F.col("chunk_id").alias("item_id"), "text", "overlap"))
+
+
+def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = _long_texts(spark, sf_dir).withColumn("key", F.concat_ws(":", "item_kind", "item_id"))
+    cut = pieces.split_texts(texts, "key", "text", "overlap")
+    return cut.select(F.substring_index("item", ":", 1).alias("item_kind"), F.expr("substring(item, instr(item, ':') + 1)").alias("item_id"), "piece_no", "start", "shared", "stop", "piece")
+
+
+@query("p5_found", """
+SELECT DISTINCT 'segment' AS item_kind, segment_id AS item_id FROM segments WHERE length(trim(text, ' ')) > 2000
+UNION SELECT DISTINCT 'chunk', chunk_id FROM chunks WHERE length(trim(text, ' ')) > 2000
+""")
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items that were split, from the pieces themselves."""
+    return _pieces(spark, sf_dir).filter("piece_no > 0").select("item_kind", "item_id").distinct()
+
+
+@query("p5_pieces")
+def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every oversized segment and chunk."""
+    return _pieces(spark, sf_dir)
