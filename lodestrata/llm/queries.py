@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, main_body, near_dup, nn_descent, pieces, reading, site_lines
+from . import bpe, main_body, near_dup, nn_descent, pieces, reading, scan_repair, site_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -188,3 +188,24 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every oversized segment and chunk."""
     return _pieces(spark, sf_dir)
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    seg = table(spark, sf_dir, "segments").filter("text is not null")
+    pages = seg.filter("page_ref is not null").select(F.col("segment_id").alias("item"), F.col("document_id").alias("doc"), F.col("order_index").alias("ord"), "text").dropDuplicates(["item"])
+    return pages, seg.filter("page_ref is null").select("text")
+
+
+@query("p6_found")
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of pages that are furniture, end in a broken word, or have a misread character."""
+    rows, fixes = scan_repair.repair(*_pages(spark, sf_dir))
+    return scan_repair.marked_lines(rows, fixes).select(F.col("item").alias("segment_id"), "line_no", "kind")
+
+
+@query("p6_text")
+def p6_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every scanned or printed document as continuous paragraphs."""
+    pages, clean = _pages(spark, sf_dir)
+    rows, fixes = scan_repair.repair(pages, clean)
+    return scan_repair.paragraphs(pages, rows, fixes).select(F.col("doc").cast("long").alias("document_id"), "text")
