@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, main_body, near_dup, nn_descent, pieces, reading, scan_repair, site_lines
+from . import bpe, main_body, name_variants, near_dup, nn_descent, pieces, reading, scan_repair, site_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -209,3 +209,21 @@ def p6_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, clean = _pages(spark, sf_dir)
     rows, fixes = scan_repair.repair(pages, clean)
     return scan_repair.paragraphs(pages, rows, fixes).select(F.col("doc").cast("long").alias("document_id"), "text")
+
+
+def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return name_variants.resolve(table(spark, sf_dir, "entity_canonical"), "entity_id", "original_name", "entity_type")
+
+
+@query("p7_found")
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of rows that name the same entity."""
+    g = name_variants.stage_table(_named(spark, sf_dir).select("entity_id", "group"), "groups")
+    a, b = g.withColumnRenamed("entity_id", "entity_id_a"), g.withColumnRenamed("entity_id", "entity_id_b")
+    return a.join(b, "group").filter("entity_id_a < entity_id_b").select("entity_id_a", "entity_id_b")
+
+
+@query("p7_canonical")
+def p7_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical name of every row."""
+    return _named(spark, sf_dir).select("entity_id", "canonical_name")
