@@ -127,35 +127,31 @@ def p2_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(vectors.select("id", F.col("key").alias("chunk_id")), "id").select(F.col("qid").alias("vec_id"), "chunk_id", F.round("similarity", 3).alias("similarity"))
 
 
-def _html_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Segments of HTML documents with their labels, once each."""
+def _main_scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Segments of web pages, and (item, doc, main) of those of HTML documents."""
     raw = table(spark, sf_dir, "documents_raw")
     html = F.lower("content_type").contains("html") | (F.col("content_type").isNull() & (F.col("raw_ext") == ".html"))
-    docs = raw.filter(html).select("document_id").distinct()
-    seg = table(spark, sf_dir, "segments").select("segment_id", "document_id", "municipality_id", "order_index", "segment_type", "text", "heading_context").dropDuplicates(["segment_id"])
-    labels = table(spark, sf_dir, "segment_labels").groupBy("segment_id").agg(F.max("is_main").alias("label"))
-    return (
-        seg.join(docs, "document_id", "left_semi")
-        .join(labels, "segment_id", "left")
-        .select(
-            F.col("segment_id").alias("item"), F.col("document_id").alias("doc"), F.col("municipality_id").alias("host"), F.col("order_index").alias("ord"),
-            F.col("segment_type").alias("kind"), "text", F.col("heading_context").isNull().cast("int").alias("no_context"), "label",
-        )
+    docs = raw.filter(html).select(F.col("document_id").alias("doc")).distinct()
+    seg = table(spark, sf_dir, "segments").filter("page_ref is null").select(
+        F.col("segment_id").alias("item"), F.col("document_id").alias("doc"), F.col("municipality_id").alias("host"), F.col("order_index").alias("ord"),
+        F.col("segment_type").alias("kind"), "text", F.col("heading_context").isNull().cast("int").alias("no_context"),
     )
+    labels = table(spark, sf_dir, "segment_labels").select(F.col("segment_id").alias("item"), F.col("is_main").alias("label"))
+    return seg, main_body.main_scores(seg, labels).join(docs, "doc", "left_semi")
 
 
 @query("p4_found")
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments of HTML documents without a line of the main body."""
-    return main_body.main_scores(_html_segments(spark, sf_dir)).filter("main < 0.5").select(F.col("item").alias("segment_id"))
+    return _main_scores(spark, sf_dir)[1].filter("main < 0.5").select(F.col("item").alias("segment_id"))
 
 
 @query("p4_body")
 def p4_body(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main body of each HTML document: its main segments in order."""
-    seg = _html_segments(spark, sf_dir)
-    kept = main_body.main_scores(seg).filter("main >= 0.5").select("item")
-    parts = seg.join(kept, "item", "left_semi").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("ord", "item", "text"))).alias("s"))
+    seg, scores = _main_scores(spark, sf_dir)
+    kept = seg.select("doc", "ord", "item", "text").join(scores.filter("main >= 0.5").select("item"), "item", "left_semi")
+    parts = kept.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("ord", "item", "text"))).alias("s"))
     return parts.select(F.col("doc").alias("document_id"), F.size("s").alias("n_segments"), F.array_join(F.transform("s", lambda x: x["text"]), "\n").alias("main_text"))
 
 
