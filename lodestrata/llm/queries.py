@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import bpe, main_body, name_variants, near_dup, nn_descent, pieces, reading, scan_repair, site_lines
+from . import bpe, main_body, name_variants, near_dup, nn_descent, packing, pieces, reading, scan_repair, site_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -223,3 +223,21 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p7_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical name of every row."""
     return _named(spark, sf_dir).select("entity_id", "canonical_name")
+
+
+def _containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").filter("text <> ''").select("doc_id", "text")
+    return packing.containers(bpe.token_counts(docs, "doc_id", "text"), "doc_id", "n_tokens", 4096)
+
+
+@query("p9_containers")
+def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Container of every document with a text; longer documents are cut into several pieces."""
+    return _containers(spark, sf_dir)
+
+
+@query("p9_fill")
+def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers by how full they are, in tenths."""
+    per = _containers(spark, sf_dir).groupBy("container").agg(F.sum("tokens").alias("tokens"))
+    return per.groupBy(F.floor(F.col("tokens") * 10 / 4096).cast("int").alias("tenths")).agg(F.count("*").alias("n_containers"), F.sum("tokens").alias("tokens"))
