@@ -24,3 +24,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         return f
 
     return register
+
+
+# Every module registers its queries when it is imported.
+from . import store  # noqa: E402, F401
