@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from ..session import stage_table
 from . import golay, words
 
-ANCHORS, ANCHOR_WORDS, AROUND = 10, 8, 6
+ANCHORS, ANCHOR_WORDS, AROUND = 10, 10, 6
 #: Texts of at most so many words also give anchors of one shingle each.
-SHORT_WORDS = 12
+SHORT_WORDS = 15
 SKETCH = 64
 
 
@@ -128,9 +128,9 @@ def _keys(rows: DataFrame) -> DataFrame:
 
 def candidate_pairs(base: DataFrame, k: int, threshold: float) -> DataFrame:
     """(a, b), a < b: pairs of classes of ``base`` (cls, text) that share a key and may reach the threshold."""
-    rows = stage_table(_fingerprint_rows(base, k).dropDuplicates(["anchor", "cls"]), "fingerprints")
-    shared = rows.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    keys = _keys(rows.join(shared, "anchor", "left_semi"))
+    rows = stage_table(_fingerprint_rows(base, k), "fingerprints")
+    shared = rows.groupBy("anchor").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("anchor")
+    keys = _keys(rows.join(shared, "anchor", "left_semi").dropDuplicates(["anchor", "cls"]))
     a = keys.select("key", *[F.col(c).alias(f"{c}_a") for c in ("cls", "sketch", "size")])
     b = keys.select("key", *[F.col(c).alias(f"{c}_b") for c in ("cls", "sketch", "size")])
     expected = SKETCH * (1 - threshold) / 2
