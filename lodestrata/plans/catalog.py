@@ -27,4 +27,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 # Every module registers its queries when it is imported.
-from . import graphs, jobs, scalars, sinks, store  # noqa: E402, F401
+from . import graphs, jobs, models, scalars, sinks, store  # noqa: E402, F401
