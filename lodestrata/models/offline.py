@@ -120,3 +120,20 @@ def parse_reply(c: Column) -> Column:
     kg = F.from_json(inner, schema)
     empty = F.from_json(F.lit('{"entities":[],"relationships":[]}'), schema)
     return F.struct(F.coalesce(kg["entities"], empty["entities"]).alias("entities"), F.coalesce(kg["relationships"], empty["relationships"]).alias("relationships"))
+
+
+def critic(answer: Column, context: Column, least: float = 0.5) -> Column:
+    """Whether an answer is supported well enough by its context to be given."""
+    return F.coalesce(overlap(answer, context) >= least, F.lit(False))
+
+
+def map_answers(reports: DataFrame, question: str, most: int = 20) -> DataFrame:
+    """(community, points, answer): reports that share words with a question, the best ``most``."""
+    points = F.size(F.array_intersect(_words(F.lit(question)), _words("text")))
+    return reports.select("community", points.alias("points"), F.substring("text", 1, 400).alias("answer")).filter("points > 0").orderBy(F.desc("points"), "community").limit(most)
+
+
+def reduce_answers(partial: DataFrame, most: int = 10) -> DataFrame:
+    """(answer,): the best partial answers as one."""
+    best = partial.orderBy(F.desc("points"), "community").limit(most)
+    return best.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct((-F.col("points")).alias("p"), "community", "answer"))), lambda x: x["answer"]), "\n").alias("answer"))

@@ -233,3 +233,61 @@ def udf_topic(spark, sf):
         return usable.select("chunk_id", F.lit(0).alias("topic"))
     model = KMeans(k=8, seed=7, maxIter=10).fit(usable)
     return model.transform(usable).select("chunk_id", F.col("prediction").alias("topic"))
+
+
+def _district_reports(spark, sf):
+    """A report text for each municipality from its titles."""
+    t = _titles(spark, sf).join(docs(spark, sf).select("document_id", F.col("municipality_id").alias("community")), "document_id")
+    return t.groupBy("community").agg(F.array_join(F.sort_array(F.collect_set("title")), " ").alias("text"))
+
+
+@query("udf_llm_map")
+def udf_llm_map(spark, sf):
+    return offline.map_answers(_district_reports(spark, sf), "Klimaschutzkonzept und Wärmeplan")
+
+
+@query("udf_llm_reduce")
+def udf_llm_reduce(spark, sf):
+    return offline.reduce_answers(udf_llm_map(spark, sf))
+
+
+@query("udf_llm_critic")
+def udf_llm_critic(spark, sf):
+    s = segments(spark, sf).filter("heading_context is not null and text is not null")
+    return s.select("segment_id", offline.critic(F.col("heading_context"), F.col("text")).alias("supported"))
+
+
+@query("src_http", "SELECT DISTINCT url_canonical AS url, 200 AS status FROM documents_raw WHERE url_canonical IS NOT NULL")
+def src_http(spark, sf):
+    """Fetches every URL with a fetcher that answers offline."""
+    from ..sources import fetch
+
+    return fetch.fetch(table(spark, sf, "documents_raw"), "url_canonical", offline_page).select("url", "status")
+
+
+@query("src_cache", "SELECT DISTINCT url_canonical AS url, CASE WHEN contains(url_canonical, 'beschluss') THEN 304 ELSE 200 END AS status FROM documents_raw WHERE url_canonical IS NOT NULL")
+def src_cache(spark, sf):
+    """Fetches only what a cache lacks."""
+    from ..sources import fetch
+
+    r = table(spark, sf, "documents_raw")
+    cache = r.filter("url_canonical like '%beschluss%'").select(F.col("url_canonical").alias("url"), F.lit(304).alias("status"), F.lit("text/html").alias("content_type"), F.lit(b"").alias("body"), F.lit(None).cast("string").alias("error")).dropDuplicates(["url"])
+    return fetch.cached(r, "url_canonical", cache, offline_page).select("url", "status")
+
+
+def offline_page(url):
+    return 200, "text/html", b"<html></html>", None
+
+
+@query("fn_vec_pack", "SELECT vec_id, len(embedding) * 4 AS n_bytes FROM embeddings")
+def fn_vec_pack(spark, sf):
+    """Vectors as bytes of 32-bit floats and back; rows that don't survive are left out."""
+    import numpy as np
+
+    def run(batches):
+        for batch in batches:
+            packed = [np.asarray(v, dtype="<f4").tobytes() for v in batch.column(1).to_pylist()]
+            same = [np.frombuffer(p, dtype="<f4").tolist() == v for p, v in zip(packed, batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(p) for p in packed], pa.int64())], names=["vec_id", "n_bytes"]).filter(pa.array(same))
+
+    return table(spark, sf, "embeddings").select("vec_id", "embedding").mapInArrow(run, "vec_id long, n_bytes long")
