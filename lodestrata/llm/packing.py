@@ -143,6 +143,8 @@ def containers(items: DataFrame, key: str, size: str, capacity: int) -> DataFram
         return table.drop_columns(["grp"]).append_column("container", pa.array(name.tolist(), pa.string()))
 
     kind = rest.schema["item"].dataType.simpleString()
-    packed = rest.withColumn("grp", F.pmod(F.xxhash64("item", F.lit(5)), F.lit(groups))).groupBy("grp").applyInArrow(group, f"item {kind}, piece_no int, tokens long, container string")
+    # a group's work is far greater than its bytes, by which tasks would be put together
+    dealt = rest.withColumn("grp", F.pmod(F.xxhash64("item", F.lit(5)), F.lit(groups))).repartition(groups, "grp")
+    packed = dealt.groupBy("grp").applyInArrow(group, f"item {kind}, piece_no int, tokens long, container string")
     packed = packed.select("item", "piece_no", (F.col("piece_no").cast("long") * capacity).alias("start"), "tokens", "container")
     return full.unionByName(packed).withColumnRenamed("item", key)
