@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from ..session import stage_table
 from . import golay, words
 
-ANCHORS, ANCHOR_WORDS, AROUND = 10, 10, 6
+ANCHORS, ANCHOR_WORDS, AROUND = 16, 10, 6
 #: Texts of at most so many words also give anchors of one shingle each.
 SHORT_WORDS = 15
 SKETCH = 64
