@@ -9,8 +9,8 @@ in brackets and filler words are left out. Then
    swap of neighbours counts as one); each goes to its most frequent neighbour,
    and place adjectives go to their place;
 2. names whose corrected words are a permutation of each other share a key;
-3. abbreviated names (initials, cut words, acronyms, nicknames, or the family
-   name alone) join the full names of their type that hold their longest word,
+3. abbreviated names (initials, cut words, acronyms, nicknames of several names,
+   or the family name alone) join the full names of their type that hold their longest word,
    and are attached where the rest fits exactly one of them, or one at least
    twice as frequent as any other.
 
@@ -39,7 +39,7 @@ NICKNAMES = {
     "gitti": "brigitte birgit", "uli": "ulrich ulrike", "ulli": "ulrich ulrike", "kathi": "katharina", "kati": "katharina", "steffi": "stefanie", "susi": "susanne", "hias": "matthias", "matze": "matthias",
     "didi": "dietmar dieter", "max": "maximilian", "maxi": "maximilian", "andi": "andreas", "sepp": "josef", "beppo": "josef", "jupp": "josef", "alex": "alexander alexandra", "fritz": "friedrich", "hans": "johannes johann",
     "hannes": "johannes", "willi": "wilhelm", "willy": "wilhelm", "heiner": "heinrich", "heinz": "heinrich", "chris": "christian christine christoph", "michi": "michael michaela", "michl": "michael", "toni": "anton antonia",
-    "resi": "theresa theresia", "rosi": "rosemarie rosa", "lisa": "elisabeth", "sissi": "elisabeth", "elli": "elisabeth", "liesl": "elisabeth", "babsi": "barbara", "gretl": "margarete", "grete": "margarete", "gerti": "gertrud",
+    "resi": "theresa theresia", "rosi": "rosemarie rosa", "lisa": "elisabeth", "sissi": "elisabeth", "elli": "elisabeth", "liesl": "elisabeth", "babsi": "barbara", "gretl": "margarete", "gretel": "margarete", "grete": "margarete", "gerti": "gertrud",
     "traudl": "gertrud", "angie": "angelika", "geli": "angelika", "leni": "helene magdalena", "lena": "helene magdalena", "moni": "monika", "schorsch": "georg", "wolfi": "wolfgang", "flo": "florian", "basti": "sebastian",
     "tom": "thomas", "tommy": "thomas", "jo": "johannes joachim", "jojo": "johannes joachim", "jockel": "jakob", "jackl": "jakob", "baerbel": "barbara", "gabi": "gabriele", "conny": "cornelia", "petra": "petra", "rudi": "rudolf", "klausi": "klaus",
 }
@@ -66,6 +66,9 @@ def parts(name: str) -> tuple[list[str], bool]:
             continue
         if not any(c.isalpha() for c in low):
             continue
+        if " " not in NICKNAMES.get(low, " "):  # the familiar form of one name only
+            out.append(NICKNAMES[low])
+            continue
         camel = any(a.islower() and b.isupper() for a, b in zip(plain, plain[1:])) and plain != "AG"
         dotted = raw.endswith(".") and len(low) < 14
         if dotted or len(low) < 4 or (camel and len(low) < 10) or low in NICKNAMES:
