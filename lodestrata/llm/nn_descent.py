@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 
 from ..session import stage_table
 
-#: Rows of a block, the mean rows wanted of one, and the number of partitions.
+#: Rows of a block, the mean rows wanted of one, and the least number of partitions.
 BLOCK, MEAN_BLOCK, TREES = 4096, 1536, 4
-#: Neighbours kept while building, neighbours followed in a round, and the largest meeting.
-WIDTH, FOLLOW, MEET = 8, 4, 48
+#: Neighbours kept and followed, and the largest meeting.
+WIDTH, MEET = 8, 48
 
 
 def unit_vectors(df: DataFrame, key: str, vector: str, dim: int) -> DataFrame:
@@ -56,6 +56,11 @@ def _matrix(column, dim: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.float16).reshape(-1, dim).astype(np.float32)
 
 
+def partition_bits(n: int) -> int:
+    """Signs that a partition of ``n`` vectors has, for blocks of about ``MEAN_BLOCK`` rows."""
+    return max(0, math.ceil(math.log2(max(1, n / MEAN_BLOCK))))
+
+
 def _codes(vectors: DataFrame, dim: int, bits: int, trees: int) -> DataFrame:
     """(tree, code, id, q) of each vector in each partition."""
     planes = np.random.default_rng(7).standard_normal((trees, dim, max(bits, 1))).astype(np.float32)
@@ -119,21 +124,26 @@ def _block_lists(coded: DataFrame, dim: int, width: int) -> DataFrame:
     return salted.select("tree", "code", "part", "id", "q").groupBy("tree", "code", "part").applyInArrow(block, LISTS)
 
 
-def _merged(lists: DataFrame, width: int) -> DataFrame:
-    """One list for each id, of the best of all its lists."""
-    together = lists.groupBy("id").agg(F.flatten(F.collect_list("nb")).alias("nb"), F.flatten(F.collect_list("sim")).alias("sim"))
+def _merged(lists: DataFrame, width: int, before: DataFrame | None = None) -> DataFrame:
+    """One list for each id, of the best of all its lists; ``fresh`` are those that it has not in ``before``."""
+    all_lists = lists.withColumn("old", F.array().cast("array<long>"))
+    if before is not None:
+        all_lists = all_lists.unionByName(before.select("id", "nb", "sim", F.col("nb").alias("old")))
+    together = all_lists.groupBy("id").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("nb", "sim", "old")])
 
     def run(batches):
         for batch in batches:
             sizes = np.asarray(batch.column(1).value_lengths())
             of = np.repeat(np.arange(batch.num_rows), sizes)
-            yield _lists(batch.column(0).to_numpy(), of, batch.column(1).flatten().to_numpy(), batch.column(2).flatten().to_numpy(), width)
+            best = _lists(batch.column(0).to_numpy(), of, batch.column(1).flatten().to_numpy(), batch.column(2).flatten().to_numpy(), width)
+            yield pa.RecordBatch.from_arrays([*best.columns, batch.column(3)], names=["id", "nb", "sim", "old"])
 
-    return together.select("id", "nb", "sim").mapInArrow(run, LISTS)
+    merged = together.select("id", "nb", "sim", "old").mapInArrow(run, f"{LISTS}, old array<long>")
+    return merged.select("id", "nb", "sim", F.array_except("nb", "old").alias("fresh"))
 
 
-def _met(center: np.ndarray, ids: np.ndarray, x: np.ndarray, worst: np.ndarray) -> list[pa.RecordBatch]:
-    """Lists of those that meet at each center; rows come in the order of the centers."""
+def _met(center: np.ndarray, ids: np.ndarray, x: np.ndarray, worst: np.ndarray, fresh: np.ndarray) -> list[pa.RecordBatch]:
+    """Lists of those that meet at each center, of pairs with a fresh member; rows come in the order of the centers."""
     cut = np.flatnonzero(np.concatenate([[True], center[1:] != center[:-1]]))
     size = np.diff(np.append(cut, len(center)))
     out = []
@@ -148,6 +158,7 @@ def _met(center: np.ndarray, ids: np.ndarray, x: np.ndarray, worst: np.ndarray)
             s = y @ y.transpose(0, 2, 1)
             better = s > worst[rows][:, :, None]
             better[:, np.arange(m), np.arange(m)] = False
+            better &= fresh[rows][:, :, None] | fresh[rows][:, None, :]
             g, i, j = np.nonzero(better)
             if len(g):
                 member, inverse = np.unique(ids[rows[g, i]], return_inverse=True)
@@ -156,18 +167,19 @@ def _met(center: np.ndarray, ids: np.ndarray, x: np.ndarray, worst: np.ndarray)
 
 
 def _round(graph: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
-    """Lists from the comparison of all that meet at a common neighbour."""
-    edges = graph.select("id", F.explode(F.slice("nb", 1, FOLLOW)).alias("nb"))
-    own = edges.select(F.col("id").alias("center"), F.col("nb").alias("id"))
-    back = edges.select(F.col("nb").alias("center"), "id")
-    guests = back.join(own, ["center", "id"], "left_anti")
-    crowd = guests.groupBy("center").agg(F.ceil(F.count("*") / F.lit(MEET - FOLLOW)).cast("int").alias("parts"))
-    guests = guests.join(crowd, "center").select("center", F.pmod(F.xxhash64("id", "center"), F.col("parts")).cast("long").alias("part"), "id")
-    hosts = own.join(crowd, "center", "left").select("center", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)).cast("long") - 1)).alias("part"), "id")
+    """Lists from the comparison of all that meet at a common neighbour and did not before."""
+    edges = graph.select("id", F.explode("nb").alias("nb"), "fresh").select("id", "nb", F.array_contains("fresh", F.col("nb")).alias("fresh"))
+    both = edges.select(F.col("id").alias("center"), F.col("nb").alias("id"), "fresh", F.lit(True).alias("own"))
+    both = both.unionByName(edges.select(F.col("nb").alias("center"), "id", "fresh", F.lit(False).alias("own")))
+    met = both.groupBy("center", "id").agg(F.min("fresh").alias("fresh"), F.max("own").alias("own"))
+    crowd = met.groupBy("center").agg(F.ceil(F.sum((~F.col("own")).cast("int")) / F.lit(MEET - WIDTH)).cast("long").alias("parts"), F.max("fresh").alias("any"))
+    met = met.join(crowd.filter("any"), "center").withColumn("parts", F.greatest("parts", F.lit(1)))
+    part = F.when(F.col("own"), F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("id", "center"), F.col("parts"))))
+    sent = met.select("center", F.explode(part).alias("part"), "id", "fresh")
     worst = graph.select("id", F.when(F.size("sim") >= WIDTH, F.element_at("sim", WIDTH)).otherwise(F.lit(-1.0)).cast("float").alias("worst"))
-    sent = hosts.unionByName(guests).join(vectors.select("id", "q").join(worst, "id"), "id")
+    sent = sent.join(vectors.select("id", "q").join(worst, "id"), "id")
     spot = F.xxhash64("center", "part").alias("spot")
-    meeting = sent.select(spot, "id", "q", "worst")
+    meeting = sent.select(spot, "id", "q", "worst", "fresh")
     partitions = int(meeting.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     meeting = meeting.repartition(partitions, "spot").sortWithinPartitions("spot")
 
@@ -179,33 +191,34 @@ def _round(graph: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
             last = int(np.searchsorted(spots, spots[-1])) if len(spots) else 0
             if last:
                 done, held = held.slice(0, last), held.slice(last)
-                yield from _met(done.column(0).to_numpy(), done.column(1).to_numpy(), _matrix(done.column(2), dim), done.column(3).to_numpy())
+                yield from _met(done.column(0).to_numpy(), done.column(1).to_numpy(), _matrix(done.column(2), dim), done.column(3).to_numpy(), done.column(4).to_numpy(zero_copy_only=False))
         if held is not None and held.num_rows:
-            yield from _met(held.column(0).to_numpy(), held.column(1).to_numpy(), _matrix(held.column(2), dim), held.column(3).to_numpy())
+            yield from _met(held.column(0).to_numpy(), held.column(1).to_numpy(), _matrix(held.column(2), dim), held.column(3).to_numpy(), held.column(4).to_numpy(zero_copy_only=False))
 
     return meeting.mapInArrow(run, LISTS)
 
 
-def neighbour_graph(vectors: DataFrame, dim: int, rounds: int = 1, trees: int = TREES, least_change: float = 0.01) -> DataFrame:
-    """(id, nb, sim): up to ``WIDTH`` neighbours of each vector of ``unit_vectors``, the most similar first."""
+def neighbour_graph(vectors: DataFrame, dim: int, trees: int = TREES, least_change: float = 0.01) -> DataFrame:
+    """(id, nb, sim): up to ``WIDTH`` neighbours of each vector of ``unit_vectors``, the most similar first.
+
+    More vectors make more blocks, and a block then holds fewer of a vector's
+    neighbours; so there are at least as many partitions as signs in one. Rounds
+    end when at most ``least_change`` of the lists change.
+    """
     n = vectors.count()
-    bits = max(0, math.ceil(math.log2(max(1, n / MEAN_BLOCK))))
-    graph = stage_table(_merged(_block_lists(_codes(vectors, dim, bits, trees), dim, WIDTH), WIDTH), "graph")
-    for _ in range(rounds):
-        if bits == 0:  # one block: already exhaustive
-            break
-        after = stage_table(_merged(graph.unionByName(_round(graph, vectors, dim)), WIDTH), "graph")
-        changed = after.select("id", F.col("nb").alias("now")).join(graph.select("id", "nb"), "id").filter(~F.slice("now", 1, FOLLOW).eqNullSafe(F.slice("nb", 1, FOLLOW))).count() if rounds > 1 else 0
-        graph = after
-        if changed <= least_change * n:
-            break
-    return graph
-
-
-def nearest(df: DataFrame, key: str, vector: str, dim: int, k: int = 5, rounds: int = 1) -> DataFrame:
+    bits = partition_bits(n)
+    graph = stage_table(_merged(_block_lists(_codes(vectors, dim, bits, max(trees, bits)), dim, WIDTH), WIDTH), "graph")
+    changed = n if bits else 0  # one block: already exhaustive
+    while changed > least_change * n:
+        graph = stage_table(_merged(_round(graph, vectors, dim), WIDTH, graph), "graph")
+        changed = graph.filter(F.size("fresh") > 0).count()
+    return graph.drop("fresh")
+
+
+def nearest(df: DataFrame, key: str, vector: str, dim: int, k: int = 5) -> DataFrame:
     """(key, neighbour, rank, similarity): the k most similar other vectors of each usable vector."""
     vectors = stage_table(unit_vectors(df, key, vector, dim), "vectors")
-    graph = neighbour_graph(vectors, dim, rounds)
+    graph = neighbour_graph(vectors, dim)
     pairs = graph.select("id", F.posexplode(F.slice(F.arrays_zip("nb", "sim"), 1, k)).alias("rank", "e")).select("id", F.col("e.nb").alias("nb"), (F.col("rank") + 1).alias("rank"), F.col("e.sim").alias("similarity"))
     names = vectors.select("id", "key")
     return (

@@ -47,3 +47,12 @@ def test_equal_vectors_and_empty_table(spark, monkeypatch):
     out = nd.nearest(frame(spark, x), "chunk_id", "embedding", 16, k=5)
     assert out.groupBy("chunk_id").count().filter("count = 5").count() == 300
     assert nd.nearest(frame(spark, x).limit(0), "chunk_id", "embedding", 16).count() == 0
+
+
+def test_recall_holds_with_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(nd, "MEAN_BLOCK", 24)
+    x = np.random.default_rng(5).standard_normal((3000, 16)).astype(np.float32)
+    out = nd.nearest(frame(spark, x), "chunk_id", "embedding", 16, k=5).collect()
+    got = {(int(r.chunk_id[1:]), int(r.neighbour[1:])) for r in out}
+    true = {(i, int(j)) for i, row in enumerate(brute(x, 5)) for j in row}
+    assert len(got & true) >= 0.9 * len(true), len(got & true) / len(true)
