@@ -5,7 +5,8 @@ projections; every block is searched exhaustively) and then improved by rounds
 of Spark joins of neighbours of neighbours: every vector is sent to its
 neighbours, and all that meet at one vector are compared with each other. A
 round's graph is a written table; rounds end when few lists change. Queries
-enter the graph at random vectors and walk greedily.
+enter the graph in their own blocks of the same partitions and walk greedily
+until no beam changes.
 
 Similarity is the cosine, of vectors normalised and kept as 16-bit floats (an
 error of about 0.0005). Vectors that are null, of another length, all zero or
@@ -228,33 +229,84 @@ def nearest(df: DataFrame, key: str, vector: str, dim: int, k: int = 5) -> DataF
     )
 
 
-def search(graph: DataFrame, vectors: DataFrame, queries: DataFrame, dim: int, k: int = 5, beam: int = 96, steps: int = 8) -> DataFrame:
+def _entries(vectors: DataFrame, queries: DataFrame, dim: int, beam: int, trees: int = TREES) -> DataFrame:
+    """(qid, id): the ``beam`` most similar vectors of each query's own block in each random partition.
+
+    A code that no vector has is replaced by an occupied one with the longest
+    common prefix, so every query enters in every partition. Of a block split at
+    random a query searches one part.
+    """
+    bits = partition_bits(vectors.count())
+    coded = _codes(vectors, dim, bits, trees)
+    sizes = stage_table(coded.groupBy("tree", "code").agg(F.ceil(F.count("*") / F.lit(BLOCK * 3 // 4)).cast("int").alias("parts")), "blocks")
+    cut = F.explode(F.sequence(F.lit(0), F.lit(bits))).alias("cut")
+    prefix = F.expr("shiftright(code, cut)").alias("prefix")
+    reached = sizes.select("tree", "code", "parts", cut).select("tree", "cut", prefix, "code", "parts").groupBy("tree", "cut", "prefix").agg(F.min(F.struct("code", "parts")).alias("to"))
+    asked = _codes(queries.select(F.col("qid").alias("id"), "q"), dim, bits, trees).select("tree", "code", F.col("id").alias("qid"), cut)
+    best = asked.select("tree", "cut", prefix, "qid").join(reached, ["tree", "cut", "prefix"]).groupBy("tree", "qid").agg(F.min(F.struct("cut", "to")).alias("best"))
+    into = best.select("tree", F.col("best.to.code").alias("code"), F.pmod(F.xxhash64("qid", "tree"), F.col("best.to.parts")).alias("part"), "qid")
+    left = into.join(queries.select("qid", "q"), "qid").select("tree", "code", "part", "qid", "q")
+    used = into.select("tree", "code", "part").distinct()
+    right = coded.join(sizes, ["tree", "code"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts"))).join(used, ["tree", "code", "part"], "left_semi").select("tree", "code", "part", "id", "q")
+
+    def block(asking: pa.Table, there: pa.Table) -> pa.Table:
+        if not asking.num_rows or not there.num_rows:
+            return pa.table({"qid": pa.array([], pa.int64()), "id": pa.array([], pa.int64())})
+        qid, ids = asking.column("qid").to_numpy(), there.column("id").to_numpy()
+        target, x = _matrix(asking.column("q"), dim), _matrix(there.column("q"), dim)
+        k = min(beam, len(ids))
+        best = [np.argpartition(target[at : at + 1024] @ x.T, len(ids) - k, axis=1)[:, len(ids) - k :] for at in range(0, len(qid), 1024)]
+        return pa.table({"qid": np.repeat(qid, k), "id": ids[np.concatenate(best).ravel()]})
+
+    by = ["tree", "code", "part"]
+    return left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(block, "qid long, id long").distinct()
+
+
+def _far_links(vectors: DataFrame, dim: int, trees: int = TREES) -> DataFrame:
+    """(id, nb): the most similar vectors of each vector within random samples, about ``MEAN_BLOCK`` rows each.
+
+    Lists of the nearest alone hold together only what is close, and a walk ends
+    in the first group that it meets; these lead from group to group.
+    """
+    n = vectors.count()
+    parts = max(1, round(n / MEAN_BLOCK))
+    drawn = vectors.select(F.explode(F.sequence(F.lit(0), F.lit(max(trees, partition_bits(n)) - 1))).alias("tree"), "id", "q")
+    drawn = drawn.withColumn("code", F.pmod(F.xxhash64("id", "tree", F.lit(11)), F.lit(parts)))
+    return _block_lists(drawn, dim, WIDTH).select("id", F.explode("nb").alias("nb"))
+
+
+def search(graph: DataFrame, vectors: DataFrame, queries: DataFrame, dim: int, k: int = 5, beam: int = 96) -> DataFrame:
     """(qid, id, similarity): the k best of a greedy walk for each query (qid, q); the graph stays distributed.
 
-    Walks begin at ``beam`` vectors drawn by hash from a bounded pool and follow
-    edges, in both directions, of the ``beam`` best seen so far, each step one join.
+    Walks begin at the best of the query's own blocks and follow edges and links
+    of random samples, in both directions, of the ``beam`` best seen so far, each
+    step two joins; they end when every vector of every beam has been followed.
     """
-    pool = vectors.orderBy(F.xxhash64("id", F.lit(11))).limit(64 * beam).select("id")
-    start = queries.select("qid").crossJoin(F.broadcast(pool))
-    edges = graph.select("id", F.explode("nb").alias("nb"))
+    edges = graph.select("id", F.explode("nb").alias("nb")).unionByName(_far_links(vectors, dim))
     linked = edges.unionByName(edges.select(F.col("nb").alias("id"), F.col("id").alias("nb"))).groupBy("id").agg(F.collect_set("nb").alias("nb"))
-    nodes = stage_table(vectors.select("id", "q").join(linked, "id"), "search_graph")
+    nodes = stage_table(vectors.select("id", "q").join(linked, "id", "left"), "search_graph")
+    # laid out once by id, so that the steps move only what they ask for
+    nodes = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id").persist()
 
     def score(batches):
         for batch in batches:
             a, b = _matrix(batch.column(2), dim), _matrix(batch.column(3), dim)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((a * b).sum(axis=1)), batch.column(4)], names=["qid", "id", "similarity", "nb"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((a * b).sum(axis=1))], names=["qid", "id", "similarity"])
 
     def scored(wanted: DataFrame) -> DataFrame:
-        both = wanted.join(queries.select("qid", F.col("q").alias("target")), "qid").join(nodes, "id").select("qid", "id", "target", "q", "nb")
-        return both.mapInArrow(score, "qid long, id long, similarity float, nb array<long>")
+        both = wanted.join(nodes.select("id", "q"), "id").join(queries.select("qid", F.col("q").alias("target")), "qid").select("qid", "id", "target", "q")
+        return both.mapInArrow(score, "qid long, id long, similarity float").withColumn("followed", F.lit(False))
 
     from pyspark.sql import Window
 
     best_first = Window.partitionBy("qid").orderBy(F.desc("similarity"), "id")
-    seen = scored(start)
-    for _ in range(steps):
+    seen = scored(_entries(vectors, queries, dim, beam))
+    while True:
         seen = stage_table(seen.withColumn("r", F.row_number().over(best_first)).filter(F.col("r") <= 4 * beam), "walk")
-        step = seen.filter(F.col("r") <= beam).select("qid", F.explode("nb").alias("id")).distinct().join(seen.select("qid", "id"), ["qid", "id"], "left_anti")
-        seen = seen.drop("r").unionByName(scored(step))
-    return seen.withColumn("r", F.row_number().over(best_first)).filter(F.col("r") <= k).select("qid", "id", "similarity")
+        fresh = seen.filter((F.col("r") <= beam) & ~F.col("followed"))
+        if fresh.isEmpty():
+            break
+        step = fresh.select("qid", "id").join(nodes.select("id", "nb"), "id").select("qid", F.explode("nb").alias("id")).distinct().join(seen.select("qid", "id"), ["qid", "id"], "left_anti")
+        seen = seen.withColumn("followed", F.col("followed") | (F.col("r") <= beam)).drop("r").unionByName(scored(step))
+    nodes.unpersist()
+    return seen.filter(F.col("r") <= k).select("qid", "id", "similarity")

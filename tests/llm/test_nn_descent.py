@@ -56,3 +56,20 @@ def test_recall_holds_with_many_blocks(spark, monkeypatch):
     got = {(int(r.chunk_id[1:]), int(r.neighbour[1:])) for r in out}
     true = {(i, int(j)) for i, row in enumerate(brute(x, 5)) for j in row}
     assert len(got & true) >= 0.9 * len(true), len(got & true) / len(true)
+
+
+def test_search_finds_queries_of_another_distribution(spark, monkeypatch):
+    monkeypatch.setattr(nd, "MEAN_BLOCK", 100)
+    x = clustered(6000)
+    rng = np.random.default_rng(9)
+    vectors = nd.stage_table(nd.unit_vectors(frame(spark, x), "chunk_id", "embedding", 16), "vectors")
+    y = np.concatenate([rng.standard_normal((58, 16)), -50 * np.ones((2, 16))]).astype(np.float32)
+    asked = nd.unit_vectors(spark.createDataFrame([(str(i), v.tolist()) for i, v in enumerate(y)], "k string, v array<float>"), "k", "v", 16)
+    queries = asked.select(asked.key.cast("long").alias("qid"), "q")
+    found = nd.search(nd.neighbour_graph(vectors, 16), vectors, queries, 16, beam=12)
+    key = {r.id: int(r.key[1:]) for r in vectors.select("id", "key").collect()}
+    got = {(r.qid, key[r.id]) for r in found.collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    true = {(i, int(j)) for i, row in enumerate(np.argsort(-(y @ u.T), axis=1)[:, :5]) for j in row}
+    assert len(got) == 300 and len(got & true) >= 0.9 * len(true), len(got & true) / len(true)
+    assert nd.search(nd.neighbour_graph(vectors.limit(0), 16), vectors.limit(0), queries, 16).count() == 0
