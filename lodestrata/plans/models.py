@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import difflib
 
+import numpy as np
 import pyarrow as pa
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..models import offline
@@ -176,14 +178,54 @@ def _similar(batches):
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)])], names=[*batch.schema.names, "ratio"])
 
 
+def _may_be_alike(batches):
+    """Keeps the pairs whose letters, counted in 64 buckets, allow a ratio of 0.85; buckets can only raise the bound."""
+
+    def counts(names: list[str]) -> np.ndarray:
+        code = np.frombuffer("".join(names).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        of = np.repeat(np.arange(len(names)), [len(n) for n in names])
+        return np.bincount(of * 64 + code % 64, minlength=len(names) * 64).reshape(-1, 64)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        a, b = counts(batch.column("a").to_pylist()), counts(batch.column("b").to_pylist())
+        yield batch.filter(pa.array(2 * np.minimum(a, b).sum(axis=1) >= 0.85 * (a.sum(axis=1) + b.sum(axis=1)) - 1e-6))
+
+
+def fuzzy_candidates(e):
+    """(entity_type, category, a, b), a < b: every pair of names ``k`` that can have a ratio of at least 0.85, or of which one holds the other.
+
+    A ratio of 0.85 leaves names of n and m letters at least 0.275 (n + m) - 1
+    two-letter sequences in common, counted with repeats, and m >= 0.739 n; so
+    the rarest n - ceil(0.478 n - 1) sequences of both have one in common. A
+    name that holds another has the rarest three letters of that one, or all of
+    it if it is shorter.
+    """
+    by = ["entity_type", "category"]
+    e = e.select(*by, "k", F.char_length("k").alias("len"))
+    grams = e.filter("len >= 3").select(*by, "k", "len", F.expr("explode(transform(sequence(1, len - 1), i -> substring(k, i, 2)))").alias("g"))
+    grams = grams.withColumn("nth", F.row_number().over(Window.partitionBy(*by, "k", "g").orderBy("g")))
+    often = grams.groupBy(*by, "g", "nth").agg(F.count("*").alias("n"))
+    ranked = grams.join(often, [*by, "g", "nth"]).withColumn("r", F.row_number().over(Window.partitionBy(*by, "k").orderBy("n", "g", "nth")))
+    first = stage_table(ranked.filter(F.col("r") <= F.col("len") - F.ceil(F.col("len") * 0.478 - 1.001)).select(*by, "g", "nth", "k", "len"), "fuzzy_grams")
+    left = first.withColumnsRenamed({"k": "a", "len": "la"})
+    right = first.withColumnsRenamed({"k": "b", "len": "lb"})
+    near = left.join(right, [*by, "g", "nth"]).filter("a < b and la >= 0.739 * lb and lb >= 0.739 * la").select(*by, "a", "b")
+    near = near.mapInArrow(_may_be_alike, near.schema)
+    parts = e.select(*by, "k", "len", F.expr("explode(array_distinct(flatten(transform(sequence(1, least(len, 3)), q -> transform(sequence(1, len - q + 1), i -> substring(k, i, q))))))").alias("g"))
+    parts = stage_table(parts, "fuzzy_parts")
+    own = parts.filter(F.char_length("g") == F.least("len", F.lit(3))).join(parts.groupBy(*by, "g").agg(F.count("*").alias("n")), [*by, "g"])
+    own = own.groupBy(*by, "k", "len").agg(F.min(F.struct("n", "g")).alias("rarest")).select(*by, F.col("k").alias("short"), F.col("len").alias("ls"), F.col("rarest.g").alias("g"))
+    held = own.join(parts, [*by, "g"]).filter(F.col("len") > F.col("ls")).filter(F.contains("k", "short")).select(*by, F.least("k", "short").alias("a"), F.greatest("k", "short").alias("b"))
+    return near.unionByName(held).distinct()
+
+
 @query("join_fuzzy")
 def join_fuzzy(spark, sf):
-    """Pairs of keys of one type and category alike by matching blocks or containment, met by their first word or their letters' ends."""
+    """Pairs of keys of one type and category alike by matching blocks or containment, of all pairs that can be."""
     e = table(spark, sf, "entity_canonical").select("entity_type", "category", text.entity_norm(F.col("original_name")).alias("k")).filter("k <> ''").distinct()
-    block = F.array_distinct(F.array(F.concat(F.lit("a"), F.split_part("k", F.lit(" "), F.lit(1))), F.concat(F.lit("z"), F.split_part("k", F.lit(" "), F.lit(-1)))))
-    b = e.withColumn("block", F.explode(block))
-    pairs = b.select("entity_type", "category", "block", F.col("k").alias("a")).join(b.select("entity_type", "category", "block", F.col("k").alias("b")), ["entity_type", "category", "block"]).filter("a < b").select("a", "b", "entity_type", "category").distinct()
-    r = pairs.mapInArrow(_similar, "a string, b string, entity_type string, category string, ratio double")
+    r = fuzzy_candidates(e).select("a", "b", "entity_type", "category").mapInArrow(_similar, "a string, b string, entity_type string, category string, ratio double")
     return r.filter((F.col("ratio") >= 0.85) | F.contains("a", "b") | F.contains("b", "a")).withColumn("ratio", F.round("ratio", 4))
 
 

@@ -106,3 +106,28 @@ def test_replies(spark):
     rows = [("```json\n{\"entities\":[{\"name\":\"A\",\"type\":\"x\"}],\"relationships\":[]}\n```",), ("no json",), (None,), ("so: {\"entities\":[]} end",)]
     out = spark.createDataFrame(rows, "c string").select(F.size(offline.parse_reply(F.col("c"))["entities"]).alias("n")).collect()
     assert [r.n for r in out] == [1, 0, 0, 0]
+
+
+def test_fuzzy_candidates_hold_all_alike_names(spark):
+    import difflib
+    import random
+
+    from lodestrata.plans import models
+
+    r = random.Random(4)
+    names = {"barbaar sogometusen", "barbara sgoometusen", "amt", "amtt", "im amt nord", "ab", "a"}
+    for _ in range(60):
+        w = "".join(r.choice("aabcde n") for _ in range(r.randint(2, 24))).strip() or "x"
+        names.add(w)
+        for _ in range(3):
+            c = list(w)
+            for _ in range(r.randint(1, 3)):
+                i = r.randrange(len(c))
+                c[i : i + 1] = r.choice([[], [c[i], r.choice("abxy")], [r.choice("abxy")]])
+                c = c or ["x"]
+            names.add("".join(c).strip() or "x")
+    rows = [("t", "c", k) for k in names] + [("t", "d", "barbaar sogometusen")]
+    got = {(x.category, x.a, x.b) for x in models.fuzzy_candidates(spark.createDataFrame(rows, "entity_type string, category string, k string")).collect()}
+    alike = {("c", a, b) for a in names for b in names if a < b and (difflib.SequenceMatcher(None, a, b).ratio() >= 0.85 or a in b or b in a)}
+    assert len(alike) > 100 and alike <= got, sorted(alike - got)[:5]
+    assert ("c", "barbaar sogometusen", "barbara sgoometusen") in got and all(c == "c" for c, _, _ in got)
