@@ -21,6 +21,11 @@ def valid(c: Column) -> Column:
     return scheme(c).isin("http", "https") & (host(c) != "")
 
 
+def depth(c: Column) -> Column:
+    """Number of path steps."""
+    return F.size(F.filter(F.split(F.regexp_extract(c, r"^[^:]+://[^/?#]*([^?#]*)", 1), "/"), lambda x: x != ""))
+
+
 def norm_domain(c: Column) -> Column:
     """Domain without scheme, port and final dots."""
     d = F.lower(F.trim(F.coalesce(c, F.lit(""))))

@@ -19,6 +19,11 @@ def insert_ignore(target: DataFrame, rows: DataFrame, keys: list[str], order: li
     return target.unionByName(_extreme(rows, keys, order, last=False).join(target.select(*keys), keys, "left_anti").select(*target.columns))
 
 
+def inserted(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of ``rows`` that ``insert_ignore`` would add."""
+    return rows.select(*keys).distinct().join(target.select(*keys), keys, "left_anti")
+
+
 def upsert(target: DataFrame, rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """``target`` with the last row of each key written over its own."""
     latest = _extreme(rows, keys, order, last=True)

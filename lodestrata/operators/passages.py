@@ -44,3 +44,31 @@ def range_shards(df: DataFrame, key: str, n: int) -> DataFrame:
     size = df.agg((F.count("*") / n).cast("long").alias("_size"))
     shard = F.when(F.col("_size") == 0, n - 1).otherwise(F.least(F.floor((F.col("rn") - 1) / F.greatest("_size", F.lit(1))), F.lit(n - 1)))
     return numbered(df, key).crossJoin(F.broadcast(size)).withColumn("shard", shard.cast("long")).drop("rn", "_size")
+
+
+def heading_paths(df: DataFrame, group: str, order: str, level: str, text: str, levels: int = 6) -> DataFrame:
+    """Adds ``path``: the headings under which each heading stands, itself the last.
+
+    A heading ends all those of its own level or deeper. The last heading of
+    every level comes from one window over the group; one stands in the path if
+    it came after the last of each higher level.
+    """
+    w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    last = {n: F.last(F.when(F.col(level) == n, F.struct(F.col(order).alias("at"), F.col(text).alias("text"))), ignorenulls=True).over(w).alias(f"_h{n}") for n in range(1, levels + 1)}
+    found = df.select("*", *last.values())
+    kept = []
+    for n in range(1, levels + 1):
+        above = [F.coalesce(F.col(f"_h{m}")["at"] < F.col(f"_h{n}")["at"], F.lit(True)) for m in range(1, n)]
+        stands = F.col(f"_h{n}").isNotNull()
+        for a in above:
+            stands = stands & a
+        kept.append(F.when(stands, F.col(f"_h{n}")["text"]))
+    return found.withColumn("path", F.concat_ws(" > ", *kept)).drop(*[f"_h{n}" for n in last])
+
+
+def since_last(df: DataFrame, group: list[str], order: list[str], found: str) -> DataFrame:
+    """Adds ``since``: rows of the group since its last row with ``found``, which itself has 0."""
+    w = Window.partitionBy(*group).orderBy(*order)
+    island = df.withColumn("_island", F.sum(F.col(found).cast("int")).over(w))
+    place = F.row_number().over(Window.partitionBy(*group, "_island").orderBy(*order))
+    return island.withColumn("since", place - F.when(F.col("_island") > 0, 1).otherwise(0)).drop("_island")

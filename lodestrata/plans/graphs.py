@@ -22,16 +22,16 @@ UNION ALL SELECT 'HAS_SEGMENT', count(*) FROM (SELECT DISTINCT document_id, segm
 def gr_base_edges(spark, sf):
     count = lambda df, rel: df.distinct().agg(F.lit(rel).alias("rel"), F.count("*").alias("n"))
     return (
-        count(docs(spark, sf).select("municipality_id", "document_id"), "HAS_DOCUMENT")
-        .unionByName(count(segments(spark, sf).select("document_id", "segment_id"), "HAS_SEGMENT"))
-        .unionByName(count(chunks(spark, sf).filter("segment_id is not null").select("segment_id", "chunk_id"), "HAS_CHUNK"))
+        count(docs(spark, sf, "municipality_id"), "HAS_DOCUMENT")
+        .unionByName(count(segments(spark, sf, "document_id"), "HAS_SEGMENT"))
+        .unionByName(count(chunks(spark, sf, "segment_id", where="segment_id is not null"), "HAS_CHUNK"))
     )
 
 
 @query("gr_segment_meta", f"WITH {SEG_SQL}, {CHUNK_SQL} SELECT c.chunk_id, s.impact_score, s.heading_context FROM ch c LEFT JOIN seg s ON c.segment_id = s.segment_id")
 def gr_segment_meta(spark, sf):
-    s = segments(spark, sf).select("segment_id", "impact_score", "heading_context")
-    return chunks(spark, sf).select("chunk_id", "segment_id").join(s, "segment_id", "left").select("chunk_id", "impact_score", "heading_context")
+    s = segments(spark, sf, "impact_score", "heading_context")
+    return chunks(spark, sf, "segment_id").join(s, "segment_id", "left").select("chunk_id", "impact_score", "heading_context")
 
 
 @query("gr_project", "WITH b AS (SELECT l_suppkey AS src, l_partkey + 1000000000 AS dst FROM lineitem) SELECT src, dst, count(*) AS weight FROM (SELECT src, dst FROM b UNION ALL SELECT dst, src FROM b) GROUP BY ALL")
@@ -145,7 +145,7 @@ def gr_frontier_bfs(spark, sf):
 @query("gr_links", f"WITH {DOCS_SQL} SELECT DISTINCT a.document_id AS src, b.document_id AS dst FROM docs a JOIN docs b ON a.raw_hash = b.raw_hash AND a.document_id < b.document_id")
 def gr_links(spark, sf):
     """Documents with the same body, linked to the first of them and to each other."""
-    d = docs(spark, sf).filter("raw_hash is not null")
+    d = docs(spark, sf, "raw_hash").filter("raw_hash is not null")
     several = d.groupBy("raw_hash").agg(F.count("*").alias("n")).filter("n > 1").select("raw_hash")
     d = d.join(several, "raw_hash", "left_semi").select("raw_hash", "document_id")
     return d.withColumnRenamed("document_id", "src").join(d.withColumnRenamed("document_id", "dst"), "raw_hash").filter("src < dst").select("src", "dst")

@@ -69,13 +69,13 @@ def st_windowed(spark, sf):
 
 @query("st_incremental", f"WITH {SEG_SQL} SELECT segment_id FROM seg WHERE coalesce(impact_score, 0) >= 20 AND segment_id NOT IN (SELECT segment_id FROM chunks WHERE segment_id IS NOT NULL)")
 def st_incremental(spark, sf):
-    return joins.not_yet(segments(spark, sf).filter(F.coalesce("impact_score", F.lit(0)) >= 20), table(spark, sf, "chunks"), "segment_id").select("segment_id")
+    return joins.not_yet(segments(spark, sf, where=F.coalesce("impact_score", F.lit(0)) >= 20), table(spark, sf, "chunks"), "segment_id")
 
 
 @query("st_embed_poll", f"WITH {CHUNK_SQL} SELECT chunk_id, (row_number() OVER (ORDER BY chunk_id) - 1) // 64 AS batch FROM ch WHERE embedded_at IS NULL")
 def st_embed_poll(spark, sf):
     """Chunks without a vector, in batches of 64."""
-    n = passages.numbered(chunks(spark, sf).filter("embedded_at is null").select("chunk_id"), "chunk_id")
+    n = passages.numbered(chunks(spark, sf, where="embedded_at is null"), "chunk_id")
     return n.select("chunk_id", F.expr("(rn - 1) div 64").alias("batch"))
 
 
@@ -89,7 +89,7 @@ def st_visited(spark, sf):
 
 @query("st_budget", f"WITH {DOCS_SQL} SELECT municipality_id, least(count(*), 300) AS pages, count(*) > 300 AS stopped FROM docs GROUP BY 1")
 def st_budget(spark, sf):
-    return docs(spark, sf).groupBy("municipality_id").agg(F.least(F.count("*"), F.lit(300)).alias("pages"), (F.count("*") > 300).alias("stopped"))
+    return docs(spark, sf, "municipality_id").groupBy("municipality_id").agg(F.least(F.count("*"), F.lit(300)).alias("pages"), (F.count("*") > 300).alias("stopped"))
 
 
 @query("st_rate_limit", f"WITH {DOCS_SQL}, g AS (SELECT municipality_id, epoch_us(first_fetch) - epoch_us(lag(first_fetch) OVER (PARTITION BY municipality_id ORDER BY first_fetch, document_id)) AS gap FROM docs) SELECT municipality_id, count(*) FILTER (gap < 200000) AS too_fast FROM g GROUP BY 1")
@@ -97,7 +97,7 @@ def st_rate_limit(spark, sf):
     """Fetches that came sooner than allowed after the one before them."""
     w = Window.partitionBy("municipality_id").orderBy("first_fetch", "document_id")
     gap = F.unix_micros(F.col("first_fetch").cast("timestamp")) - F.unix_micros(F.lag("first_fetch").over(w).cast("timestamp"))
-    return docs(spark, sf).withColumn("gap", gap).groupBy("municipality_id").agg(F.count_if(F.col("gap") < 200000).alias("too_fast"))
+    return docs(spark, sf, "municipality_id", "first_fetch").withColumn("gap", gap).groupBy("municipality_id").agg(F.count_if(F.col("gap") < 200000).alias("too_fast"))
 
 
 @query("sort_job_priority", f"WITH {EVENT_SQL}, s AS (SELECT job, max_by(kind, (ts, id)) AS last_kind, max(ts) AS last_ts FROM j GROUP BY 1) SELECT job, last_kind FROM s ORDER BY CASE last_kind WHEN 'failed' THEN 0 WHEN 'claim' THEN 1 ELSE 2 END, last_ts, job LIMIT 30")

@@ -20,35 +20,35 @@ from .store import SEG_SQL, chunks, docs, segments
 @query("udf_scorer", f"WITH {SEG_SQL} SELECT segment_id, least(length(text) // 250, 8) AS points FROM seg WHERE text IS NOT NULL")
 def udf_scorer(spark, sf):
     """A scorer plugged in as an expression."""
-    return segments(spark, sf).filter("text is not null").select("segment_id", F.least(F.floor(F.char_length("text") / 250), F.lit(8)).alias("points"))
+    return segments(spark, sf, F.least(F.floor(F.char_length("text") / 250), F.lit(8)).alias("points"), where="text is not null")
 
 
 @query("udf_embed")
 def udf_embed(spark, sf):
-    return offline.embed(chunks(spark, sf), "chunk_id", "text", 64)
+    return offline.embed(chunks(spark, sf, "text"), "chunk_id", "text", 64)
 
 
 @query("udf_llm_extract")
 def udf_llm_extract(spark, sf):
-    return offline.extract(segments(spark, sf).filter("text is not null"), "segment_id", "text")
+    return offline.extract(table(spark, sf, "segments").filter("text is not null"), "segment_id", "text").distinct()
 
 
 @query("udf_llm_relations")
 def udf_llm_relations(spark, sf):
-    return offline.relations(offline.extract(segments(spark, sf).filter("text is not null"), "segment_id", "text"), "segment_id")
+    return offline.relations(udf_llm_extract(spark, sf), "segment_id")
 
 
 @query("set_glean_merge")
 def set_glean_merge(spark, sf):
     """Entities of two rounds, over texts and over headings."""
-    s = segments(spark, sf)
+    s = table(spark, sf, "segments")
     return offline.merge_rounds(offline.extract(s.filter("text is not null"), "segment_id", "text"), offline.extract(s.filter("heading_context is not null"), "segment_id", "heading_context"), "segment_id")
 
 
 @query("udf_llm_summary", f"""WITH {SEG_SQL}, t AS (SELECT document_id, substring(text, 1, 200) AS t, row_number() OVER (PARTITION BY document_id ORDER BY coalesce(impact_score, 0) DESC, segment_id) AS r FROM seg)
 SELECT document_id, coalesce(array_to_string(list(t ORDER BY r) FILTER (r <= 3), ' '), '') AS summary FROM t GROUP BY 1""")
 def udf_llm_summary(spark, sf):
-    return offline.summaries(segments(spark, sf), "document_id").select("document_id", "summary")
+    return offline.summaries(segments(spark, sf, "document_id", "impact_score", "text"), "document_id").select("document_id", "summary")
 
 
 @query("udf_llm_report", "SELECT s_nationkey AS community, 'Gruppe um ' || min(s_suppkey) || ' (' || count(*) || ')' AS title FROM supplier GROUP BY 1")
@@ -75,8 +75,8 @@ def agg_route_counts(spark, sf):
 
 
 def _judged(spark, sf):
-    s = segments(spark, sf).filter("heading_context is not null and text is not null")
-    return s.select("segment_id", "document_id", offline.judge(F.col("heading_context"), F.substring("text", 1, 200), F.col("text")).alias("j")).select("segment_id", "document_id", "j.*")
+    judged = offline.judge(F.col("heading_context"), F.substring("text", 1, 200), F.col("text")).alias("j")
+    return segments(spark, sf, "document_id", judged, where="heading_context is not null and text is not null").select("segment_id", "document_id", "j.*")
 
 
 @query("udf_llm_judge")
@@ -99,7 +99,7 @@ def join_pairwise_eval(spark, sf):
     from pyspark.sql import Window
 
     w = Window.partitionBy("document_id").orderBy("order_index", "segment_id")
-    r = segments(spark, sf).select("document_id", F.char_length("text").alias("n"), F.row_number().over(w).alias("k")).filter("k <= 2")
+    r = segments(spark, sf, "document_id", "order_index", F.char_length("text").alias("n")).select("document_id", "n", F.row_number().over(w).alias("k")).filter("k <= 2")
     return r.groupBy("document_id").agg(F.max(F.when(F.col("k") == 1, F.col("n"))).alias("x"), F.max(F.when(F.col("k") == 2, F.col("n"))).alias("y"), F.max("k").alias("m")).filter("m = 2").select("document_id", "x", "y")
 
 
@@ -116,7 +116,7 @@ def udf_text2query(spark, sf):
 @query("fn_json_parse_kg", f"WITH {SEG_SQL} SELECT segment_id, 1 AS n FROM seg WHERE heading_context IS NOT NULL")
 def fn_json_parse_kg(spark, sf):
     """Replies in code fences, read back."""
-    s = segments(spark, sf).filter("heading_context is not null")
+    s = segments(spark, sf, "heading_context", where="heading_context is not null")
     reply = F.concat(F.lit("```json\n"), F.to_json(F.struct(F.array(F.struct(F.col("heading_context").alias("name"), F.lit("Dokument").alias("type"))).alias("entities"))), F.lit("\n```"))
     return s.select("segment_id", F.size(offline.parse_reply(reply)["entities"]).alias("n"))
 
@@ -125,7 +125,7 @@ def _as_html(spark, sf):
     """Pages made of the stored segments."""
     tag = F.when(F.col("segment_type") == "heading", "h2").when(F.col("segment_type") == "list_item", "li").otherwise("p")
     body = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
-    s = segments(spark, sf).filter("page_ref is null and text is not null").select("document_id", F.struct("order_index", "segment_id", F.concat(F.lit("<"), tag, F.lit(">"), body, F.lit("</"), tag, F.lit(">")).alias("h")).alias("x"))
+    s = segments(spark, sf, "document_id", "order_index", "segment_type", "text", where="page_ref is null and text is not null").select("document_id", F.struct("order_index", "segment_id", F.concat(F.lit("<"), tag, F.lit(">"), body, F.lit("</"), tag, F.lit(">")).alias("h")).alias("x"))
     page = F.concat(F.lit("<html><head><title>Seite</title></head><body><nav>Menü</nav>"), F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["h"]), "\n"), F.lit("<a href='/klima'>Klima</a></body></html>"))
     return s.groupBy("document_id").agg(page.alias("html"))
 
@@ -238,7 +238,7 @@ def fn_similarity(spark, sf):
 
 def _terms(spark, sf):
     w = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda x: F.char_length(x) >= 3)
-    return segments(spark, sf).filter("text is not null").select("segment_type", F.explode(w).alias("term")).groupBy("segment_type", "term").agg(F.count("*").alias("n"))
+    return segments(spark, sf, "segment_type", "text", where="text is not null").select("segment_type", F.explode(w).alias("term")).groupBy("segment_type", "term").agg(F.count("*").alias("n"))
 
 
 _TERM_SQL = f"{SEG_SQL}, w AS (SELECT segment_type, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}]+'), lambda x: length(x) >= 3)) AS term FROM seg WHERE text IS NOT NULL), t AS (SELECT segment_type, term, count(*) AS n FROM w GROUP BY ALL)"
@@ -269,7 +269,7 @@ def udf_topic(spark, sf):
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
-    usable = chunks(spark, sf).filter("embedding is not null and size(embedding) = 64 and not exists(embedding, x -> isnan(x))").select("chunk_id", array_to_vector("embedding").alias("features"))
+    usable = chunks(spark, sf, "embedding", where="embedding is not null and size(embedding) = 64 and not exists(embedding, x -> isnan(x))").select("chunk_id", array_to_vector("embedding").alias("features"))
     usable = stage_table(usable, "topic_vectors")
     if usable.limit(9).count() < 9:
         return usable.select("chunk_id", F.lit(0).alias("topic"))
@@ -279,7 +279,7 @@ def udf_topic(spark, sf):
 
 def _district_reports(spark, sf):
     """A report text for each municipality from its titles."""
-    t = _titles(spark, sf).join(docs(spark, sf).select("document_id", F.col("municipality_id").alias("community")), "document_id")
+    t = _titles(spark, sf).join(docs(spark, sf, "municipality_id").withColumnRenamed("municipality_id", "community"), "document_id")
     return t.groupBy("community").agg(F.array_join(F.sort_array(F.collect_set("title")), " ").alias("text"))
 
 
@@ -295,8 +295,7 @@ def udf_llm_reduce(spark, sf):
 
 @query("udf_llm_critic")
 def udf_llm_critic(spark, sf):
-    s = segments(spark, sf).filter("heading_context is not null and text is not null")
-    return s.select("segment_id", offline.critic(F.col("heading_context"), F.col("text")).alias("supported"))
+    return segments(spark, sf, offline.critic(F.col("heading_context"), F.col("text")).alias("supported"), where="heading_context is not null and text is not null")
 
 
 @query("src_http", "SELECT DISTINCT url_canonical AS url, 200 AS status FROM documents_raw WHERE url_canonical IS NOT NULL")

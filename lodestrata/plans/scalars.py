@@ -14,23 +14,23 @@ from .store import DOCS_SQL, SEG_SQL, _links, chunks, docs, segments
 @query("fn_segment_score", f"""WITH {SEG_SQL} SELECT segment_id, 25 * len(regexp_extract_all(text, '{lexicon.re2(lexicon.POSITIVE)}')) - 80 * CAST(regexp_matches(text, '{lexicon.re2(lexicon.NEGATIVE)}') AS INTEGER)
  + least(length(text) // 250, 8) AS score FROM seg WHERE text IS NOT NULL""")
 def fn_segment_score(spark, sf):
-    return segments(spark, sf).filter("text is not null").select("segment_id", text.segment_score(F.col("text")).alias("score"))
+    return segments(spark, sf, text.segment_score(F.col("text")).alias("score"), where="text is not null")
 
 
 @query("fn_clean_ws", f"WITH {SEG_SQL} SELECT segment_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS clean FROM seg")
 def fn_clean_ws(spark, sf):
-    return segments(spark, sf).select("segment_id", text.clean_ws(F.col("text")).alias("clean"))
+    return segments(spark, sf, text.clean_ws(F.col("text")).alias("clean"))
 
 
 @query("fn_pdf_clean", f"WITH {SEG_SQL} SELECT segment_id, sha256(regexp_replace(text, '[ \\t]{{3,}}', ' ', 'g')) AS h FROM seg WHERE page_ref IS NOT NULL")
 def fn_pdf_clean(spark, sf):
-    return segments(spark, sf).filter("page_ref is not null").select("segment_id", F.sha2(text.page_clean(F.col("text")), 256).alias("h"))
+    return segments(spark, sf, F.sha2(text.page_clean(F.col("text")), 256).alias("h"), where="page_ref is not null")
 
 
 @query("fn_page_subchunk")
 def fn_page_subchunk(spark, sf):
     """Pieces of the extracted pages."""
-    p = segments(spark, sf).filter("page_ref is not null and text is not null")
+    p = segments(spark, sf, "order_index", "text", where="page_ref is not null and text is not null")
     return p.select("segment_id", "order_index", F.posexplode(text.page_pieces(F.col("text"))).alias("i", "piece")).select("segment_id", (F.col("order_index") + F.col("i")).alias("piece_order"), "piece")
 
 
@@ -43,24 +43,24 @@ SELECT segment_id, i AS chunk_index, i * 54 AS start_token, least(i * 54 + 60, n
 def fn_token_chunks(spark, sf):
     """Windows of 60 tokens sharing 6, with the hash of each."""
     tokens = F.filter(F.split("text", r"\s+"), lambda x: x != "")
-    t = segments(spark, sf).select("segment_id", tokens.alias("tok")).filter(F.size("tok") > 0)
+    t = table(spark, sf, "segments").select("segment_id", tokens.alias("tok")).filter(F.size("tok") > 0)
     w = t.select("segment_id", F.posexplode(text.token_windows(F.col("tok"), 60, 6)).alias("chunk_index", "w"))
-    return w.select("segment_id", "chunk_index", F.col("w.start").alias("start_token"), F.col("w.end").alias("end_token"), F.sha2(F.array_join("w.tokens", " "), 256).alias("chunk_hash"))
+    return w.select("segment_id", "chunk_index", F.col("w.start").alias("start_token"), F.col("w.end").alias("end_token"), F.sha2(F.array_join("w.tokens", " "), 256).alias("chunk_hash")).distinct()
 
 
 @query("fn_count_tokens", f"WITH {SEG_SQL} SELECT segment_id, len({_TOK}) AS n FROM seg WHERE text IS NOT NULL")
 def fn_count_tokens(spark, sf):
-    return segments(spark, sf).filter("text is not null").select("segment_id", F.size(F.filter(F.split("text", r"\s+"), lambda x: x != "")).alias("n"))
+    return segments(spark, sf, F.size(F.filter(F.split("text", r"\s+"), lambda x: x != "")).alias("n"), where="text is not null")
 
 
 @query("fn_sha256", f"WITH {SEG_SQL} SELECT segment_id, sha256(text) AS h FROM seg")
 def fn_sha256(spark, sf):
-    return segments(spark, sf).select("segment_id", F.sha2("text", 256).alias("h"))
+    return segments(spark, sf, F.sha2("text", 256).alias("h"))
 
 
 @query("fn_sha1", f"WITH {DOCS_SQL} SELECT document_id, sha1(url_canonical) AS cache_key FROM docs")
 def fn_sha1(spark, sf):
-    return docs(spark, sf).select("document_id", F.sha1("url_canonical").alias("cache_key"))
+    return docs(spark, sf, "url_canonical").select("document_id", F.sha1("url_canonical").alias("cache_key"))
 
 
 _ART = "|".join(lexicon.ARTICLES)
@@ -89,7 +89,8 @@ _MONEY_RE = r"[0-9]{1,3}(?:\.[0-9]{3})*(?:,[0-9]+)?\s?(?:€|[Ee]uros?|Mio\.?|TE
 @query("fn_money", f"WITH {SEG_SQL}, a AS (SELECT segment_id, unnest(regexp_extract_all(text, '{_MONEY_RE}')) AS amount FROM seg) SELECT segment_id, amount, count(*) AS n FROM a GROUP BY ALL")
 def fn_money(spark, sf):
     """Amounts of money in each segment."""
-    a = segments(spark, sf).select("segment_id", F.explode(F.regexp_extract_all("text", F.lit(_MONEY_RE), F.lit(0))).alias("amount"))
+    found = F.regexp_extract_all("text", F.lit(_MONEY_RE), F.lit(0))
+    a = segments(spark, sf, found.alias("found"), where=F.size(found) > 0).select("segment_id", F.explode("found").alias("amount"))
     return a.groupBy("segment_id", "amount").agg(F.count("*").alias("n"))
 
 
@@ -100,12 +101,12 @@ _ORG = r"(?i)(gmbh|e\.\s?v\.|stadtwerke|zweckverband|landratsamt|ministerium)"
 @query("fn_finance_trigger", f"WITH {SEG_SQL} SELECT segment_id, len(regexp_extract_all(text, '{_TRIGGER}')) AS n FROM seg WHERE regexp_matches(text, '{_TRIGGER}')")
 def fn_finance_trigger(spark, sf):
     p = _TRIGGER.replace("(?i)", "(?iu)")
-    return segments(spark, sf).filter(F.col("text").rlike(p)).select("segment_id", F.regexp_count("text", F.lit(p)).alias("n"))
+    return segments(spark, sf, F.regexp_count("text", F.lit(p)).alias("n"), where=F.col("text").rlike(p))
 
 
 @query("fn_org_hint", f"WITH {SEG_SQL} SELECT segment_id FROM seg WHERE regexp_matches(text, '{_ORG}')")
 def fn_org_hint(spark, sf):
-    return segments(spark, sf).filter(F.col("text").rlike(_ORG)).select("segment_id")
+    return segments(spark, sf, where=F.col("text").rlike(_ORG))
 
 
 @query("fn_ags_norm", "SELECT ags, CASE WHEN length(d) = 8 THEN d ELSE '' END AS norm FROM (SELECT ags, CASE WHEN length(x) = 7 THEN '0' || x ELSE x END AS d FROM (SELECT ags, regexp_replace(coalesce(ags, ''), '[^0-9]', '', 'g') AS x FROM municipalities))")
@@ -167,12 +168,12 @@ def set_domains_norm(spark, sf):
 @query("fn_url_canonical", f"WITH {DOCS_SQL} SELECT document_id, lower(regexp_extract(url_canonical, '^([a-z]+://[^/]+)', 1)) AS origin FROM docs")
 def fn_url_canonical(spark, sf):
     """Origin of each canonical URL; the whole form is tested case by case."""
-    return docs(spark, sf).select("document_id", F.regexp_extract(urls.canonical(F.col("url_canonical")), "^([a-z]+://[^/]+)", 1).alias("origin"))
+    return docs(spark, sf, "url_canonical").select("document_id", F.regexp_extract(urls.canonical(F.col("url_canonical")), "^([a-z]+://[^/]+)", 1).alias("origin"))
 
 
 @query("fn_urljoin", f"WITH {DOCS_SQL} SELECT document_id, regexp_extract(url_canonical, '^([^:]+://[^/?#]*)', 1) || '/klima' AS url FROM docs")
 def fn_urljoin(spark, sf):
-    return docs(spark, sf).select("document_id", urls.join(F.col("url_canonical"), F.lit("/klima")).alias("url"))
+    return docs(spark, sf, "url_canonical").select("document_id", urls.join(F.col("url_canonical"), F.lit("/klima")).alias("url"))
 
 
 @query("fn_seed_paths", f"SELECT ags, rtrim(homepage_url, '/') || p AS url, CASE WHEN p = '' THEN 100 ELSE 80 END AS priority FROM municipalities, (SELECT unnest(['', {', '.join(repr(p) for p in lexicon.SEED_PATHS)}]) AS p) WHERE homepage_url IS NOT NULL AND homepage_url <> ''")
@@ -209,7 +210,7 @@ def fn_json_dump(spark, sf):
 @query("fn_prompt_context", f"WITH {SEG_SQL} SELECT segment_id, concat_ws(chr(10) || chr(10), 'Überschrift: ' || heading_context, 'Seite: ' || page_ref, 'Text: ' || substring(text, 1, 200)) AS prompt FROM seg")
 def fn_prompt_context(spark, sf):
     """Prompt of a segment from what is known of it."""
-    return segments(spark, sf).select("segment_id", F.concat_ws("\n\n", F.concat(F.lit("Überschrift: "), "heading_context"), F.concat(F.lit("Seite: "), "page_ref"), F.concat(F.lit("Text: "), F.substring("text", 1, 200))).alias("prompt"))
+    return segments(spark, sf, F.concat_ws("\n\n", F.concat(F.lit("Überschrift: "), "heading_context"), F.concat(F.lit("Seite: "), "page_ref"), F.concat(F.lit("Text: "), F.substring("text", 1, 200))).alias("prompt"))
 
 
 @query("set_word_overlap", f"""WITH {SEG_SQL}, w AS (SELECT segment_id, list_distinct(list_filter(regexp_split_to_array(lower(heading_context), '\\s+'), lambda x: length(x) > 3)) AS h,
@@ -217,8 +218,7 @@ def fn_prompt_context(spark, sf):
 def set_word_overlap(spark, sf):
     """Words that a segment shares with its heading."""
     words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), r"\s+"), lambda x: F.char_length(x) > 3))
-    s = segments(spark, sf).filter("heading_context is not null and text is not null")
-    return s.select("segment_id", F.size(F.array_intersect(words("heading_context"), words("text"))).alias("overlap"))
+    return segments(spark, sf, F.size(F.array_intersect(words("heading_context"), words("text"))).alias("overlap"), where="heading_context is not null and text is not null")
 
 
 @query("set_union_all", f"WITH {SEG_SQL} SELECT 'segment' AS kind, count(*) AS n FROM seg UNION ALL SELECT 'chunk', count(DISTINCT chunk_id) FROM chunks UNION ALL SELECT 'document', count(DISTINCT document_id) FROM documents_raw")
@@ -227,6 +227,15 @@ def set_union_all(spark, sf):
     return count(segments(spark, sf), "segment").unionByName(count(chunks(spark, sf), "chunk")).unionByName(count(docs(spark, sf), "document"))
 
 
-@query("udtf_chunk", f"WITH {SEG_SQL}, s AS (SELECT segment_id, unnest(string_split(text, chr(10))) AS line FROM seg WHERE text IS NOT NULL) SELECT segment_id, count(*) AS n_lines FROM s GROUP BY 1")
+@query("udtf_chunk", f"""WITH {SEG_SQL}, t AS (SELECT segment_id, heading_context, {_TOK} AS tok FROM seg), n AS (SELECT *, len(tok) AS n FROM t WHERE len(tok) > 0),
+w AS (SELECT *, unnest(range(0, CASE WHEN n <= 80 THEN 1 ELSE CAST(ceil((n - 20) / 60.0) AS BIGINT) END)) AS i FROM n)
+SELECT segment_id, i AS chunk_index, heading_context, i * 60 AS start_token, least(i * 60 + 80, n) AS end_token, least(i * 60 + 80, n) - i * 60 AS token_count, array_to_string(tok[i * 60 + 1 : least(i * 60 + 80, n)], ' ') AS text FROM w""")
 def udtf_chunk(spark, sf):
-    return segments(spark, sf).filter("text is not null").select("segment_id", F.explode(F.split("text", "\n", -1)).alias("line")).groupBy("segment_id").agg(F.count("*").alias("n_lines"))
+    """Chunks of 80 tokens sharing 20, with their texts."""
+    tokens = F.filter(F.split("text", r"\s+"), lambda x: x != "")
+    t = segments(spark, sf, "heading_context", tokens.alias("tok"), where="text is not null").filter(F.size("tok") > 0)
+    w = t.select("segment_id", "heading_context", F.posexplode(text.token_windows(F.col("tok"), 80, 20)).alias("chunk_index", "w"))
+    return w.select(
+        "segment_id", "chunk_index", "heading_context", F.col("w.start").alias("start_token"), F.col("w.end").alias("end_token"),
+        F.size("w.tokens").alias("token_count"), F.array_join("w.tokens", " ").alias("text"),
+    )

@@ -19,7 +19,7 @@ def snk_raw_cas(spark, sf):
 @query("snk_insert_ignore", f"""WITH {SEG_SQL} SELECT document_id, segment_hash, min_by(segment_id, (order_index, segment_id)) AS segment_id FROM seg GROUP BY ALL""")
 def snk_insert_ignore(spark, sf):
     """First segment of each text of a document, inserted in two batches."""
-    s = segments(spark, sf).select("document_id", "segment_hash", "segment_id", "order_index")
+    s = segments(spark, sf, "document_id", "segment_hash", "order_index")
     first = merge.insert_ignore(s.limit(0), s.filter("order_index < 5"), ["document_id", "segment_hash"], ["order_index", "segment_id"])
     return merge.insert_ignore(first, s, ["document_id", "segment_hash"], ["order_index", "segment_id"]).select("document_id", "segment_hash", "segment_id")
 
@@ -41,14 +41,14 @@ def snk_replace(spark, sf):
 
 @query("snk_update_from", f"""WITH {DOCS_SQL}, t AS (SELECT url_canonical, min(document_id) AS target FROM docs GROUP BY 1) SELECT d.document_id, t.target FROM docs d LEFT JOIN t ON d.url_final = t.url_canonical""")
 def snk_update_from(spark, sf):
-    d = docs(spark, sf)
+    d = docs(spark, sf, "url_final", "url_canonical")
     links = d.select("document_id", "url_final", F.lit(None).cast("long").alias("target"))
     return merge.fill_from(links, "target", "url_final", d, "url_canonical", "document_id").select("document_id", "target")
 
 
 @query("set_delete_missing", f"WITH {SEG_SQL} SELECT segment_id FROM seg WHERE document_id IN (SELECT doc_id FROM documents)")
 def set_delete_missing(spark, sf):
-    return merge.delete_missing(segments(spark, sf), table(spark, sf, "documents").select(F.col("doc_id").alias("document_id")), ["document_id"]).select("segment_id")
+    return merge.delete_missing(segments(spark, sf, "document_id"), table(spark, sf, "documents").select(F.col("doc_id").alias("document_id")), ["document_id"]).select("segment_id")
 
 
 @query("snk_csv", "SELECT ags, name, population FROM municipalities")
@@ -58,7 +58,7 @@ def snk_csv(spark, sf):
 
 @query("snk_parquet", f"WITH {SEG_SQL} SELECT segment_id, segment_type FROM seg")
 def snk_parquet(spark, sf):
-    return writers.parquet(segments(spark, sf).select("segment_id", "segment_type"))
+    return writers.parquet(segments(spark, sf, "segment_type"))
 
 
 @query("snk_sqlite_table", "SELECT ags, array_to_string(list_sort(list_distinct(list_filter(string_split(lower(coalesce(allowed_domains, '')), '|'), lambda d: d <> ''))), '|') AS domains FROM municipalities")
@@ -70,7 +70,7 @@ def snk_sqlite_table(spark, sf):
 
 @query("snk_graph", f"WITH {DOCS_SQL} SELECT DISTINCT 'm' || municipality_id AS src, 'd' || document_id AS dst FROM docs")
 def snk_graph(spark, sf):
-    return writers.parquet(docs(spark, sf).select(F.concat(F.lit("m"), "municipality_id").alias("src"), F.concat(F.lit("d"), "document_id").alias("dst")).distinct())
+    return writers.parquet(docs(spark, sf, "municipality_id").select(F.concat(F.lit("m"), "municipality_id").alias("src"), F.concat(F.lit("d"), "document_id").alias("dst")).distinct())
 
 
 @query("snk_vectors", "SELECT vec_id, len(embedding) AS dim FROM embeddings")
@@ -80,7 +80,7 @@ def snk_vectors(spark, sf):
 
 @query("snk_json_report", f"WITH {SEG_SQL} SELECT segment_type, count(*) AS n FROM seg GROUP BY 1")
 def snk_json_report(spark, sf):
-    return writers.json(segments(spark, sf).groupBy("segment_type").agg(F.count("*").alias("n")))
+    return writers.json(segments(spark, sf, "segment_type").groupBy("segment_type").agg(F.count("*").alias("n")))
 
 
 @query("snk_markdown", "SELECT '| ' || r_regionkey || ' | ' || r_name || ' |' AS line FROM region")
@@ -100,20 +100,21 @@ def snk_shards(spark, sf):
 @query("snk_terminal", f"WITH {SEG_SQL} SELECT segment_id, regexp_replace(substring(text, 1, 300), '([0-9]+ Euro)', '[\\1]', 'g') AS preview FROM seg WHERE contains(text, ' Euro') ORDER BY impact_score DESC NULLS LAST, segment_id LIMIT 15")
 def snk_terminal(spark, sf):
     """Preview of the best amounts, marked."""
-    s = segments(spark, sf).filter(F.col("text").contains(" Euro")).orderBy(F.desc_nulls_last("impact_score"), "segment_id").limit(15)
-    return writers.highlighted(s.select("segment_id", F.substring("text", 1, 300).alias("t")), "t", "[0-9]+ Euro").select("segment_id", "preview")
+    s = segments(spark, sf, "impact_score", F.substring("text", 1, 300).alias("t"), where=F.col("text").contains(" Euro"))
+    s = s.orderBy(F.desc_nulls_last("impact_score"), "segment_id").limit(15)
+    return writers.highlighted(s, "t", "[0-9]+ Euro").select("segment_id", "preview")
 
 
 @query("src_triplets", f"WITH {CHUNK_SQL} SELECT chunk_id, to_json({{'entities': [heading_context], 'score': impact_score}}) AS graph_json FROM ch WHERE heading_context IS NOT NULL AND impact_score IS NOT NULL")
 def src_triplets(spark, sf):
-    c = chunks(spark, sf).filter("heading_context is not null and impact_score is not null")
+    c = chunks(spark, sf, "heading_context", "impact_score", where="heading_context is not null and impact_score is not null")
     return c.select("chunk_id", F.to_json(F.struct(F.array("heading_context").alias("entities"), F.col("impact_score").alias("score"))).alias("graph_json"))
 
 
 @query("src_entity_explode", f"WITH {CHUNK_SQL}, e AS (SELECT chunk_id, unnest(string_split(heading_context, ' ')) AS name FROM ch WHERE heading_context IS NOT NULL) SELECT trim(name) AS name, count(*) AS n FROM e WHERE length(trim(name)) >= 2 GROUP BY 1")
 def src_entity_explode(spark, sf):
     """Names out of stored JSON, bad JSON and short names skipped."""
-    c = chunks(spark, sf).filter("heading_context is not null").select(F.to_json(F.struct(F.split("heading_context", " ", -1).alias("entities"))).alias("j"))
+    c = chunks(spark, sf, "heading_context", where="heading_context is not null").select(F.to_json(F.struct(F.split("heading_context", " ", -1).alias("entities"))).alias("j"))
     e = c.select(F.explode(F.from_json("j", "entities array<string>").getField("entities")).alias("name")).select(F.trim("name").alias("name")).filter(F.char_length("name") >= 2)
     return e.groupBy("name").agg(F.count("*").alias("n"))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,19 +25,57 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
-def stage_table(df: DataFrame, label: str, **write) -> DataFrame:
+#: Frees the shuffle files of a query when it ends, not when the driver collects its garbage.
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_places: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) of a folder, as the JVM knows them."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def interim_path(spark: SparkSession, label: str) -> str:
+    """A new folder for an interim table; it is deleted when the session's JVM ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    fs, p = _folder(spark, path)
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return path
+
+
+def stage_table(df: DataFrame, label: str, replaces: DataFrame | None = None, **write) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back, which cuts its lineage.
 
     The table survives the loss of executors; ``write`` may hold
-    ``partitionBy``.
+    ``partitionBy``. The staged table ``replaces`` is deleted once this one is
+    written; nothing may read it afterwards. All others are deleted with the session.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = interim_path(spark, label)
     writer = df.write.mode("overwrite").option("compression", "zstd")
     if write.get("partitionBy"):
         writer = writer.partitionBy(*write["partitionBy"])
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_FREE, None)
+    spark.conf.set(_FREE, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.unset(_FREE) if before is None else spark.conf.set(_FREE, before)
+    if replaces is not None:
+        drop_table(replaces)
+    out = spark.read.schema(df.schema).parquet(path)
+    _places[out] = path
+    return out
+
+
+def drop_table(staged: DataFrame) -> None:
+    """Deletes a table written by ``stage_table``; others are left alone."""
+    path = _places.pop(staged, None)
+    if path is not None:
+        fs, p = _folder(staged.sparkSession, path)
+        fs.delete(p, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

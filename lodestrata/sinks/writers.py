@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import interim_path
 
 
 def _path(df: DataFrame, label: str) -> str:
-    return f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    return interim_path(df.sparkSession, label) + "/out"
 
 
 def raw_blobs(df: DataFrame, body: str) -> DataFrame:
