@@ -67,7 +67,7 @@ SELECT DISTINCT segment_id, CAST(line_no AS INTEGER) AS line_no FROM n JOIN f US
 
 @query("p3_found", _P3_SQL)
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines that stand in at least six documents of their municipality, by the exact count within their cluster."""
+    """Lines in verified clusters of at least six documents whose own form stands in as many: the exact count within the cluster."""
     return _web_lines(spark, sf_dir).filter("line_docs >= 6").select("segment_id", "line_no").distinct()
 
 
