@@ -16,8 +16,10 @@ A text's similarity to another is the share of their distinct word sequences
 4. Verification on the exact shingle sets.
 
 Exact copies form one class (64-bit hash of the text) and are never compared
-with each other. Counts of anchors combine on the map side, and the joins leave
-hot keys to be split by adaptive execution. Null texts, texts shorter than
+with each other. Counts of anchors combine on the map side. The classes of a key
+that more than ``MEET`` have, as of a notice in very many texts, don't all meet:
+they are joined by their rarest shingles, which finds every pair that reaches
+the threshold and few others. Null texts, texts shorter than
 ``min_chars`` and texts of fewer words than a shingle take no part.
 """
 
@@ -25,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage_table
@@ -35,6 +37,8 @@ ANCHORS, ANCHOR_WORDS, AROUND = 16, 10, 6
 #: Texts of at most so many words also give anchors of one shingle each.
 SHORT_WORDS = 15
 SKETCH = 64
+#: Classes of a key that all meet; larger keys are joined another way.
+MEET = 64
 
 
 def _simhash(word: np.ndarray, lo: np.ndarray, hi: np.ndarray, bits: int) -> np.ndarray:
@@ -126,18 +130,47 @@ def _keys(rows: DataFrame) -> DataFrame:
     return rows.select("cls", "anchor", "around", "sketch", "size").mapInArrow(run, "key long, cls long, sketch long, size int")
 
 
-def candidate_pairs(base: DataFrame, k: int, threshold: float) -> DataFrame:
-    """(a, b), a < b: pairs of classes of ``base`` (cls, text) that share a key and may reach the threshold."""
+def candidate_pairs(base: DataFrame, k: int, threshold: float, meet: int = MEET) -> DataFrame:
+    """(a, b), a < b: pairs of classes of ``base`` (cls, text) that share a key and may reach the threshold.
+
+    All classes of a key meet if they are at most ``meet``; those of larger keys
+    are joined by their rarest shingles.
+    """
     rows = stage_table(_fingerprint_rows(base, k), "fingerprints")
     shared = rows.groupBy("anchor").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("anchor")
-    keys = _keys(rows.join(shared, "anchor", "left_semi").dropDuplicates(["anchor", "cls"]))
+    keys = stage_table(_keys(rows.join(shared, "anchor", "left_semi").dropDuplicates(["anchor", "cls"])), "keys", replaces=rows)
+    hot = stage_table(keys.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > meet).select("key"), "hot_keys")
+    crowd = None
+    if not hot.isEmpty():
+        crowd = stage_table(keys.join(hot, "key", "left_semi").select("cls").distinct(), "crowd")
+        keys = keys.join(hot, "key", "left_anti")
     a = keys.select("key", *[F.col(c).alias(f"{c}_a") for c in ("cls", "sketch", "size")])
     b = keys.select("key", *[F.col(c).alias(f"{c}_b") for c in ("cls", "sketch", "size")])
     expected = SKETCH * (1 - threshold) / 2
     spread = (SKETCH * (1 - threshold) / 2 * (1 + threshold) / 2) ** 0.5
     near = F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))) <= int(expected + 4 * spread)
     sizes = (F.col("size_a") >= threshold * F.col("size_b")) & (F.col("size_b") >= threshold * F.col("size_a"))
-    return a.join(b, "key").filter((F.col("cls_a") < F.col("cls_b")) & near & sizes).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b")).distinct()
+    pairs = a.join(b, "key").filter((F.col("cls_a") < F.col("cls_b")) & near & sizes).select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"))
+    if crowd is not None:
+        sets = _shingle_sets(base.join(crowd, "cls", "left_semi").dropDuplicates(["cls"]), k)
+        pairs = pairs.unionByName(rare_pairs(stage_table(sets, "crowd_sets"), threshold))
+    return pairs.distinct()
+
+
+def rare_pairs(sets: DataFrame, threshold: float) -> DataFrame:
+    """(a, b), a < b: every pair of (cls, set) that can reach the threshold, by a common shingle among the rarest of both.
+
+    Two sets that agree in ``threshold`` of their union have one in common among
+    the rarest n - ceil(threshold n) + 1 of each, n being its size.
+    """
+    each = sets.select("cls", F.size("set").alias("size"), F.explode("set").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1")
+    # a shingle of one set alone comes before all others, but joins nothing
+    ranked = each.join(often, "shingle", "left").withColumn("r", F.row_number().over(Window.partitionBy("cls").orderBy(F.coalesce("n", F.lit(1)), "shingle")))
+    first = ranked.filter((F.col("r") <= F.col("size") - F.ceil(threshold * F.col("size") - 1e-9) + 1) & F.col("n").isNotNull())
+    first = stage_table(first.select("cls", "size", "shingle"), "rare_shingles")
+    a, b = first.withColumnsRenamed({"cls": "a", "size": "sa"}), first.withColumnsRenamed({"cls": "b", "size": "sb"})
+    return a.join(b, "shingle").filter((F.col("a") < F.col("b")) & (F.col("sa") >= threshold * F.col("sb")) & (F.col("sb") >= threshold * F.col("sa"))).select("a", "b").distinct()
 
 
 def _shingle_sets(base: DataFrame, k: int) -> DataFrame:
@@ -211,22 +244,20 @@ def item_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def group_labels(members: DataFrame, links: DataFrame, max_rounds: int = 40) -> DataFrame:
+def group_labels(members: DataFrame, links: DataFrame) -> DataFrame:
     """(item, cls, n_links, label): each item's class, its links to other classes, and the least class reachable over links.
 
     Labels spread over links and jump to their label's label each round, until
-    none changes; every round is a written table.
+    none changes; every round is a written table that replaces the one before.
     """
     edges = stage_table(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
     labels = edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("label"), F.count("*").alias("n_links"))
-    labels = stage_table(labels, "labels")
-    for _ in range(max_rounds):
+    labels = stage_table(labels.withColumn("moved", F.lit(True)), "labels")
+    while not labels.filter("moved").isEmpty():
         seen = edges.join(labels.select(F.col("a").alias("b"), F.col("label").alias("other")), "b").groupBy("a").agg(F.min("other").alias("other"))
         spread = labels.join(seen, "a", "left").select("a", "n_links", "label", F.least("label", F.coalesce("other", "label")).alias("new"))
         jump = spread.join(labels.select(F.col("a").alias("new"), F.col("label").alias("over")), "new", "left")
-        after = stage_table(jump.select("a", "n_links", F.least("new", F.coalesce("over", "new")).alias("label"), (F.least("new", F.coalesce("over", "new")) != F.col("label")).alias("moved")), "labels")
-        moved = after.filter("moved").limit(1).count()
-        labels = after.drop("moved")
-        if not moved:
-            break
-    return members.join(labels.withColumnRenamed("a", "cls"), "cls", "left").select("item", "cls", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("label", "cls").alias("label"))
+        to = F.least("new", F.coalesce("over", "new"))
+        labels = stage_table(jump.select("a", "n_links", to.alias("label"), (to != F.col("label")).alias("moved")), "labels", replaces=labels)
+    named = labels.select(F.col("a").alias("cls"), "n_links", "label")
+    return members.join(named, "cls", "left").select("item", "cls", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("label", "cls").alias("label"))

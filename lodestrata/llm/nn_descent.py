@@ -211,7 +211,7 @@ def neighbour_graph(vectors: DataFrame, dim: int, trees: int = TREES, least_chan
     graph = stage_table(_merged(_block_lists(_codes(vectors, dim, bits, max(trees, bits)), dim, WIDTH), WIDTH), "graph")
     changed = n if bits else 0  # one block: already exhaustive
     while changed > least_change * n:
-        graph = stage_table(_merged(_round(graph, vectors, dim), WIDTH, graph), "graph")
+        graph = stage_table(_merged(_round(graph, vectors, dim), WIDTH, graph), "graph", replaces=graph)
         changed = graph.filter(F.size("fresh") > 0).count()
     return graph.drop("fresh")
 
@@ -300,9 +300,9 @@ def search(graph: DataFrame, vectors: DataFrame, queries: DataFrame, dim: int, k
     from pyspark.sql import Window
 
     best_first = Window.partitionBy("qid").orderBy(F.desc("similarity"), "id")
-    seen = scored(_entries(vectors, queries, dim, beam))
+    seen, walked = scored(_entries(vectors, queries, dim, beam)), None
     while True:
-        seen = stage_table(seen.withColumn("r", F.row_number().over(best_first)).filter(F.col("r") <= 4 * beam), "walk")
+        seen = walked = stage_table(seen.withColumn("r", F.row_number().over(best_first)).filter(F.col("r") <= 4 * beam), "walk", replaces=walked)
         fresh = seen.filter((F.col("r") <= beam) & ~F.col("followed"))
         if fresh.isEmpty():
             break

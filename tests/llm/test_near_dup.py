@@ -81,3 +81,22 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     members, links = near_dup.near_duplicates(df, "segment_id", "document_id", "text")
     assert near_dup.item_pairs(members, links).count() == 0 and near_dup.group_labels(members, links).count() == 0
+
+
+def test_hot_keys_lose_no_pair(spark):
+    """One long notice in all texts puts them under common keys; of those only the true pairs may come out, all of them."""
+    r = random.Random(9)
+    word = lambda: "".join(r.choice("abcdefghiklm") for _ in range(8))
+    notice = [word() for _ in range(40)]
+    rows = []
+    for i in range(30):
+        own = [word() for _ in range(50)]
+        rows += [(f"a{i:02}", 2 * i, " ".join(own + notice), 1, None), (f"b{i:02}", 2 * i + 1, " ".join(own[:-2] + notice), 1, None)]
+    base = near_dup.classes(spark.createDataFrame(rows, SCHEMA), "segment_id", "document_id", "text", 3)
+    of = {x.cls: x.item for x in base.collect()}
+    pairs = {tuple(sorted((of[x.a], of[x.b]))) for x in near_dup.candidate_pairs(base, 3, 0.6, meet=5).collect()}
+    true = set(brute(rows, 3, 0.6, 0))
+    assert true <= pairs and len(true) == 30
+    sets = near_dup._shingle_sets(base.dropDuplicates(["cls"]), 3)
+    rare = {tuple(sorted((of[x.a], of[x.b]))) for x in near_dup.rare_pairs(sets, 0.6).collect()}
+    assert true <= rare and len(rare) < 200
