@@ -148,9 +148,11 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("p4_body")
 def p4_body(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Main body of each HTML document: its main segments in order."""
+    """Main body of each HTML document: its main segments in order, without their lines that repeat on other pages."""
     seg, scores = _main_scores(spark, sf_dir)
-    kept = seg.select("doc", "ord", "item", "text").join(scores.filter("main >= 0.5").select("item"), "item", "left_semi")
+    kept = seg.select("doc", "ord", "item", "text").join(scores.filter("main >= 0.5").select("item", "frame_lines"), "item")
+    unique = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("frame_lines", i)), "\n")
+    kept = kept.withColumn("text", F.when(F.size("frame_lines") > 0, unique).otherwise(F.col("text")))
     parts = kept.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("ord", "item", "text"))).alias("s"))
     return parts.select(F.col("doc").alias("document_id"), F.size("s").alias("n_segments"), F.array_join(F.transform("s", lambda x: x["text"]), "\n").alias("main_text"))
 

@@ -5,22 +5,63 @@ from lodestrata.llm import main_body as mb
 SCHEMA = "item string, doc long, host string, ord int, kind string, text string, no_context int, label int"
 
 
-def test_run_pages_against_brute_force():
+def brute_longest(token, page):
+    out = []
+    for i in range(len(token)):
+        best = 0
+        for j in range(len(token)):
+            if page[i] != page[j]:
+                k = 0
+                while max(i, j) + k < len(token) and token[i + k] == token[j + k]:
+                    k += 1
+                best = max(best, k)
+        out.append(best)
+    return out
+
+
+def test_longest_runs_against_brute_force():
     rng = np.random.default_rng(2)
-    token = rng.integers(0, 3, 300).astype(np.uint64)
-    page = np.repeat(np.arange(10), 30)
-    token[29::30] = np.arange(100, 110)
-    found = mb.run_pages(token, page, (4, 8))
-    for depth in (4, 8):
-        for i in range(0, 300 - depth, 7):
-            run = token[i : i + depth].tolist()
-            same = {int(page[j]) for j in range(300 - depth + 1) if token[j : j + depth].tolist() == run}
-            assert found[depth][i] == len(same)
+    token = rng.integers(0, 3, 200).astype(np.uint64)
+    page = np.repeat(np.arange(10), 20)
+    token[60:75] = token[120:135]
+    token[19::20] = np.arange(100, 110)
+    assert mb.longest_elsewhere(token, page).tolist() == brute_longest(token.tolist(), page.tolist())
+    order, levels = mb.suffix_array(token)
+    assert order.tolist() == sorted(range(200), key=lambda i: token[i:].tolist())
+    assert mb.longest_elsewhere(token[:0], page[:0]).tolist() == []
+
+
+def test_every_long_run_shares_a_chosen_part():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        run = rng.integers(0, 1 << 32, mb.RUN + int(rng.integers(0, 9))).astype(np.uint64)
+        a = np.concatenate([rng.integers(0, 1 << 32, int(rng.integers(0, 20))).astype(np.uint64), run, rng.integers(0, 1 << 32, 7).astype(np.uint64)])
+        b = np.concatenate([rng.integers(0, 1 << 32, int(rng.integers(0, 20))).astype(np.uint64), run])
+        parts = [set(mb.winnowed(x, np.zeros(len(x), dtype=np.int32))[1].tolist()) for x in (a, b)]
+        assert parts[0] & parts[1]
 
 
 def test_covered():
-    pages = np.array([1, 3, 1, 1, 1, 2, 1, 1])
-    assert mb.covered(pages, 2, 2).tolist() == [False, True, True, False, False, True, True, False]
+    assert mb.covered(np.array([1, 5]), np.array([2, 9]), 8).tolist() == [False, True, True, False, False, True, True, True]
+
+
+def test_counts_cover_the_whole_host(spark, monkeypatch):
+    """Frame on three of many pages counts the same whether the host's pages share a stream or not."""
+    rng = np.random.default_rng(4)
+    text = lambda n: " ".join(name(*rng.integers(0, 600, 3)) for _ in range(n))
+    notice, title = text(12), text(9)
+    rows = []
+    for d in range(30):
+        rows.append((f"s{d:02}a", d, "h", 0, "paragraph", text(20) + "." + ("\n" + notice + "\n" + text(20) if d % 10 == 0 or d == 5 else ""), 1, None))
+        rows.append((f"s{d:02}b", d, "h", 1, "paragraph", notice if d in (3, 14, 22) else title if d < 2 else text(8), 1, None))
+    df = spark.createDataFrame(rows, SCHEMA)
+    found = []
+    for pages in (200, 4):
+        monkeypatch.setattr(mb, "PAGES", pages)
+        rows = mb.segment_features(df).collect()
+        found.append({r.item: (np.frombuffer(r.dense, dtype=np.float16)[:7].tolist(), r.frame_lines) for r in rows})
+    assert len(found[0]) == 60 and found[0] == found[1]
+    assert found[0]["s00a"][1] == [1] and found[0]["s01a"][1] == [] and found[0]["s14b"][0][3] > 0.6
 
 
 def name(*n):
