@@ -19,18 +19,21 @@ groups of ``MEET``; each group has all of the vector's own neighbours.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage_table
+from ..session import drop_table, stage_table
 
 #: Rows of a block, the mean rows wanted of one, and the least number of partitions.
 BLOCK, MEAN_BLOCK, TREES = 4096, 1536, 4
 #: Neighbours kept and followed, and the largest meeting.
 WIDTH, MEET = 8, 48
+#: Parts of a round's meetings, compared one after the other.
+SLICES = 2
 
 
 def unit_vectors(df: DataFrame, key: str, vector: str, dim: int) -> DataFrame:
@@ -77,8 +80,13 @@ def _codes(vectors: DataFrame, dim: int, bits: int, trees: int) -> DataFrame:
     return vectors.select("id", "q").mapInArrow(run, "tree int, code long, id long, q binary")
 
 
-def _lists(ids: np.ndarray, of: np.ndarray, neighbour: np.ndarray, sim: np.ndarray, width: int) -> pa.RecordBatch:
-    """Best ``width`` distinct neighbours of each row; ``of`` gives the row in ``ids``."""
+#: One entry of a packed list.
+ENTRY = np.dtype([("nb", "<i8"), ("sim", "<f4")])
+LISTS = "id long, list binary"
+
+
+def _best(of: np.ndarray, neighbour: np.ndarray, sim: np.ndarray, rows: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ends, neighbours, similarities) of the best ``width`` distinct neighbours of each of ``rows``; ``of`` gives an entry's row."""
     order = np.lexsort((-sim, neighbour, of))
     of, neighbour, sim = of[order], neighbour[order], sim[order]
     new = np.ones(len(of), dtype=bool)
@@ -86,18 +94,20 @@ def _lists(ids: np.ndarray, of: np.ndarray, neighbour: np.ndarray, sim: np.ndarr
     of, neighbour, sim = of[new], neighbour[new], sim[new]
     order = np.lexsort((neighbour, -sim, of))
     of, neighbour, sim = of[order], neighbour[order], sim[order]
-    start = np.searchsorted(of, np.arange(len(ids)))
+    start = np.searchsorted(of, np.arange(rows))
     keep = np.arange(len(of)) - start[of] < width
-    ends = np.zeros(len(ids) + 1, dtype=np.int32)
-    np.cumsum(np.bincount(of[keep], minlength=len(ids)), out=ends[1:])
-    ends = pa.array(ends)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids), pa.ListArray.from_arrays(ends, pa.array(neighbour[keep])), pa.ListArray.from_arrays(ends, pa.array(sim[keep].astype(np.float32)))],
-        names=["id", "nb", "sim"],
-    )
+    ends = np.zeros(rows + 1, dtype=np.int32)
+    np.cumsum(np.bincount(of[keep], minlength=rows), out=ends[1:])
+    return ends, neighbour[keep], sim[keep].astype(np.float32)
 
 
-LISTS = "id long, nb array<long>, sim array<float>"
+def _lists(ids: np.ndarray, of: np.ndarray, neighbour: np.ndarray, sim: np.ndarray, width: int) -> pa.RecordBatch:
+    """``LISTS`` of the best ``width`` distinct neighbours of each row, 12 bytes an entry; ``of`` gives the row in ``ids``."""
+    ends, neighbour, sim = _best(of, neighbour, sim, len(ids), width)
+    entries = np.empty(len(neighbour), dtype=ENTRY)
+    entries["nb"], entries["sim"] = neighbour, sim
+    lists = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer((ends * ENTRY.itemsize).astype(np.int32)), pa.py_buffer(entries.tobytes())])
+    return pa.RecordBatch.from_arrays([pa.array(ids), lists], names=["id", "list"])
 
 
 def _block_lists(coded: DataFrame, dim: int, width: int) -> DataFrame:
@@ -126,21 +136,46 @@ def _block_lists(coded: DataFrame, dim: int, width: int) -> DataFrame:
 
 
 def _merged(lists: DataFrame, width: int, before: DataFrame | None = None) -> DataFrame:
-    """One list for each id, of the best of all its lists; ``fresh`` are those that it has not in ``before``."""
-    all_lists = lists.withColumn("old", F.array().cast("array<long>"))
+    """(id, nb, sim, fresh): one list for each id, of the best of all its lists; ``fresh`` are those that it has not in ``before``."""
+    all_lists = lists.select("id", "list", F.lit(False).alias("old"))
     if before is not None:
-        all_lists = all_lists.unionByName(before.select("id", "nb", "sim", F.col("nb").alias("old")))
-    together = all_lists.groupBy("id").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("nb", "sim", "old")])
+        all_lists = all_lists.unionByName(before.select("id", "nb", "sim").mapInArrow(_packed, LISTS).select("id", "list", F.lit(True).alias("old")))
+    together = all_lists.groupBy("id").agg(F.collect_list("list").alias("lists"), F.max_by("list", F.when(F.col("old"), 1)).alias("old"))
 
     def run(batches):
         for batch in batches:
-            sizes = np.asarray(batch.column(1).value_lengths())
-            of = np.repeat(np.arange(batch.num_rows), sizes)
-            best = _lists(batch.column(0).to_numpy(), of, batch.column(1).flatten().to_numpy(), batch.column(2).flatten().to_numpy(), width)
-            yield pa.RecordBatch.from_arrays([*best.columns, batch.column(3)], names=["id", "nb", "sim", "old"])
-
-    merged = together.select("id", "nb", "sim", "old").mapInArrow(run, f"{LISTS}, old array<long>")
-    return merged.select("id", "nb", "sim", F.array_except("nb", "old").alias("fresh"))
+            n = batch.num_rows
+            got = [b"".join(x) for x in batch.column(1).to_pylist()]
+            entries = np.frombuffer(b"".join(got), dtype=ENTRY)
+            of = np.repeat(np.arange(n), np.array([len(x) for x in got], dtype=np.int64) // ENTRY.itemsize)
+            ends, nb, sim = _best(of, entries["nb"], entries["sim"], n, width)
+            kept = batch.column(2).to_pylist()
+            old = np.frombuffer(b"".join(x or b"" for x in kept), dtype=ENTRY)["nb"]
+            old_of = np.repeat(np.arange(n), np.array([len(x or b"") for x in kept], dtype=np.int64) // ENTRY.itemsize)
+            row = np.repeat(np.arange(n), np.diff(ends))
+            known = _pairs(row, nb, old_of, old)
+            fresh = np.zeros(n + 1, dtype=np.int32)
+            np.cumsum(np.bincount(row[~known], minlength=n), out=fresh[1:])
+            ends = pa.array(ends)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(ends, pa.array(nb)), pa.ListArray.from_arrays(ends, pa.array(sim)), pa.ListArray.from_arrays(pa.array(fresh), pa.array(nb[~known]))], names=["id", "nb", "sim", "fresh"]
+            )
+
+    return together.select("id", "lists", "old").mapInArrow(run, "id long, nb array<long>, sim array<float>, fresh array<long>")
+
+
+def _packed(batches):
+    for batch in batches:
+        sizes = np.asarray(batch.column(1).value_lengths())
+        of = np.repeat(np.arange(batch.num_rows), sizes)
+        yield _lists(batch.column(0).to_numpy(), of, batch.column(1).flatten().to_numpy(), batch.column(2).flatten().to_numpy(), int(sizes.max(initial=1)))
+
+
+def _pairs(row: np.ndarray, value: np.ndarray, among_row: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Whether each (row, value) is among the others."""
+    _, both = np.unique(np.concatenate([value, among]), return_inverse=True)
+    m = np.int64(both.max(initial=0) + 1)
+    return np.isin(row * m + both[: len(value)], among_row * m + both[len(value) :])
 
 
 def _met(center: np.ndarray, ids: np.ndarray, x: np.ndarray, worst: np.ndarray, fresh: np.ndarray) -> list[pa.RecordBatch]:
@@ -167,8 +202,8 @@ def _met(center: np.ndarray, ids: np.ndarray, x: np.ndarray, worst: np.ndarray,
     return out
 
 
-def _round(graph: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
-    """Lists from the comparison of all that meet at a common neighbour and did not before."""
+def _round(graph: DataFrame, vectors: DataFrame, dim: int) -> list[DataFrame]:
+    """Lists from the comparison of all that meet at a common neighbour and did not before, one written table for each slice of the meetings."""
     edges = graph.select("id", F.explode("nb").alias("nb"), "fresh").select("id", "nb", F.array_contains("fresh", F.col("nb")).alias("fresh"))
     both = edges.select(F.col("id").alias("center"), F.col("nb").alias("id"), "fresh", F.lit(True).alias("own"))
     both = both.unionByName(edges.select(F.col("nb").alias("center"), "id", "fresh", F.lit(False).alias("own")))
@@ -177,12 +212,10 @@ def _round(graph: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
     met = met.join(crowd.filter("any"), "center").withColumn("parts", F.greatest("parts", F.lit(1)))
     part = F.when(F.col("own"), F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("id", "center"), F.col("parts"))))
     sent = met.select("center", F.explode(part).alias("part"), "id", "fresh")
+    sent = stage_table(sent.select(F.xxhash64("center", "part").alias("spot"), "id", "fresh"), "meetings")
     worst = graph.select("id", F.when(F.size("sim") >= WIDTH, F.element_at("sim", WIDTH)).otherwise(F.lit(-1.0)).cast("float").alias("worst"))
-    sent = sent.join(vectors.select("id", "q").join(worst, "id"), "id")
-    spot = F.xxhash64("center", "part").alias("spot")
-    meeting = sent.select(spot, "id", "q", "worst", "fresh")
-    partitions = int(meeting.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    meeting = meeting.repartition(partitions, "spot").sortWithinPartitions("spot")
+    known = vectors.select("id", "q").join(worst, "id")
+    partitions = int(sent.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
         held = None
@@ -196,7 +229,13 @@ def _round(graph: DataFrame, vectors: DataFrame, dim: int) -> DataFrame:
         if held is not None and held.num_rows:
             yield from _met(held.column(0).to_numpy(), held.column(1).to_numpy(), _matrix(held.column(2), dim), held.column(3).to_numpy(), held.column(4).to_numpy(zero_copy_only=False))
 
-    return meeting.mapInArrow(run, LISTS)
+    out = []
+    for part in range(SLICES):  # a slice's vectors are gone from the disk before the next one's are sent
+        own = sent.filter(F.pmod("spot", F.lit(SLICES)) == part).join(known, "id").select("spot", "id", "q", "worst", "fresh")
+        meeting = own.repartition(partitions, "spot").sortWithinPartitions("spot")
+        out.append(stage_table(meeting.mapInArrow(run, LISTS), "met"))
+    drop_table(sent)
+    return out
 
 
 def neighbour_graph(vectors: DataFrame, dim: int, trees: int = TREES, least_change: float = 0.01) -> DataFrame:
@@ -211,7 +250,10 @@ def neighbour_graph(vectors: DataFrame, dim: int, trees: int = TREES, least_chan
     graph = stage_table(_merged(_block_lists(_codes(vectors, dim, bits, max(trees, bits)), dim, WIDTH), WIDTH), "graph")
     changed = n if bits else 0  # one block: already exhaustive
     while changed > least_change * n:
-        graph = stage_table(_merged(_round(graph, vectors, dim), WIDTH, graph), "graph", replaces=graph)
+        met = _round(graph, vectors, dim)
+        graph = stage_table(_merged(reduce(DataFrame.unionByName, met), WIDTH, graph), "graph", replaces=graph)
+        for lists in met:
+            drop_table(lists)
         changed = graph.filter(F.size("fresh") > 0).count()
     return graph.drop("fresh")
 
@@ -272,7 +314,14 @@ def _far_links(vectors: DataFrame, dim: int, trees: int = TREES) -> DataFrame:
     parts = max(1, round(n / MEAN_BLOCK))
     drawn = vectors.select(F.explode(F.sequence(F.lit(0), F.lit(max(trees, partition_bits(n)) - 1))).alias("tree"), "id", "q")
     drawn = drawn.withColumn("code", F.pmod(F.xxhash64("id", "tree", F.lit(11)), F.lit(parts)))
-    return _block_lists(drawn, dim, WIDTH).select("id", F.explode("nb").alias("nb"))
+    return _block_lists(drawn, dim, WIDTH).mapInArrow(_ends, "id long, nb long")
+
+
+def _ends(batches):
+    for batch in batches:
+        got = batch.column(1).to_pylist()
+        sizes = np.array([len(x) for x in got], dtype=np.int64) // ENTRY.itemsize
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), sizes)), pa.array(np.frombuffer(b"".join(got), dtype=ENTRY)["nb"])], names=["id", "nb"])
 
 
 def search(graph: DataFrame, vectors: DataFrame, queries: DataFrame, dim: int, k: int = 5, beam: int = 96) -> DataFrame:
