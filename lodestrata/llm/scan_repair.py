@@ -1,16 +1,17 @@
 """Repair of text taken from scanned or printed pages.
 
 Pages of a document are read in order. Page furniture is found at their edges:
-page numbers, lines that come back on other pages of the document (compared
-with digits masked, tolerating noise), and specks anywhere. A line's last word
+page numbers, lines that come back at the same edge within ``NEAR`` pages (compared
+with digits masked, tolerating noise), top lines set apart in two parts, and specks anywhere. A line's last word
 is broken if it ends in a hyphen and the next line of text, on the next page if
 need be, goes on with a small letter and no conjunction.
 
 Misread characters: texts that weren't scanned give the vocabulary, with
 counts. A word of a page that isn't in it is looked up in tries of the
-vocabulary by a Levenshtein automaton of two errors, which retrieves every
-candidate. Vocabulary and words are sharded by their first and by their last
-letters, as an error spares one of the two. How often one string of characters
+vocabulary by a Levenshtein automaton of two errors (one for words of two
+letters), which retrieves every candidate that differs in one place of at most
+two characters. Vocabulary and words are sharded by half of what such a place
+leaves, at the word's beginning or at its end. How often one string of characters
 was put for another over all unambiguous look-ups gives the confusions; those that
 are frequent, or put a sign or digit inside letters, explain a misreading.
 Candidates are ranked by the confusion's weight, the candidate's count, and
@@ -36,15 +37,18 @@ from ..session import stage_table
 KNOWN = 50_000
 #: Vocabulary words need so many occurrences, and candidates so many per occurrence of the odd word.
 LEAST_COUNT, RATIO = 1, 1
-#: Confusions collected at most, the most frequent ones.
-MAX_CONFUSIONS = 2000
+#: Least number and share of the confusions that count; so there are at most 250.
+LEAST_CONFUSED, LEAST_SHARE = 3, 0.004
+#: Pages within which a line comes back at the same edge if it is furniture.
+NEAR = 4
 #: Vocabulary words of one shard bucket, about.
-SHARD_WORDS = 20_000
+SHARD_WORDS = 5_000
 
 HYPHENS = "-­‐‑¬"
 _CONJUNCTIONS = {"und", "oder", "bzw", "sowie", "bis", "and", "or", "to", "als"}
 _ROMAN = r"[IVXLC]{1,7}"
 _PAGE = re.compile(rf"(?:(?:seite|page|blatt|s\.|p\.)\s*)?[-–—\[\(|·.\s]*(?:\d{{1,4}}|{_ROMAN})(?:\s*(?:von|of|/)\s*\d{{1,4}})?[-–—\]\)|·.\s]*", re.IGNORECASE)
+_APART = re.compile(r"\S {3,}\S")
 _EDGE = re.compile(r"^[^\w]+|[^\w]+$")
 _INNER = re.compile(r"[^\W\d_]")
 
@@ -83,14 +87,23 @@ def furniture(pages: list[list[str]]) -> list[set[int]]:
                     continue
                 edges.append((p, i, _norm(lines[i]), at_top))
                 break
-    counted = Counter((x, top) for _, _, x, top in edges if len(x) >= 4)
-    frequent = [k for k, n in counted.most_common(12) if n >= 2]
+    last: dict[tuple[str, bool], int] = {}
+    near: set[tuple[str, bool]] = set()
+    for p, _, x, top in edges:
+        if p - last.get((x, top), -NEAR - 1) <= NEAR:
+            near.add((x, top))
+        last[x, top] = p
+    by_length: dict[tuple[int, bool], list[str]] = {}
+    for x, top in near:
+        if len(x) >= 4:
+            by_length.setdefault((len(x), top), []).append(x)
+    alike: dict[tuple[str, bool], bool] = {}
     for p, i, x, top in edges:
-        if counted[x, top] >= 2 and len(x) >= 4 and (len(pages) < 4 or counted[x, top] * 8 >= len(pages)):
-            out[p].add(i)
-        elif any(t == top and _alike(x, y) for y, t in frequent):
-            out[p].add(i)
-        elif top and re.match(r"(?:Gemeinde|Stadt|Markt|Municipality)\s+\S+ {3,}\S", pages[p][i].strip()):
+        if (x, top) not in alike:
+            lengths = range(int(len(x) * 0.8), int(len(x) * 1.25) + 2) if len(x) >= 8 else ()
+            alike[x, top] = len(x) >= 4 and (x, top) in near or any(_alike(x, y) for n in lengths for y in by_length.get((n, top), ()))
+        # a top line set apart in two parts is a running head even on a single page
+        if alike[x, top] or (top and _APART.search(pages[p][i].strip())):
             out[p].add(i)
     for p, lines in enumerate(pages):  # numbers that stood behind a header or footer
         solid = [i for i, x in enumerate(lines) if x.strip() and i not in out[p]]
@@ -210,15 +223,27 @@ def _counted(counts: Counter):
     yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["word", "n"])
 
 
+def half(n: int) -> int:
+    """Letters that a word of n has in common with any misreading of one place of two characters, at its beginning or at its end."""
+    return max(1, (n - 1) // 2)
+
+
+def asked_keys(word: str) -> list[str]:
+    """Shards in which the word may be that a misread one stood for.
+
+    One place of at most two characters is misread; so the rest of at least
+    n - 2 letters is the word's beginning and end, and one of the two has half
+    of it.
+    """
+    low, h = word.lower(), half(len(word))
+    return ["p" + low[:h], "s" + low[-h:]]
+
+
 def shard_keys(word: str) -> list[str]:
-    """First and last letters by which a word and its misreadings meet: two of short words, three of long ones."""
+    """Shards of a vocabulary word: its beginnings and ends that misreadings of it, up to two letters shorter or longer, may ask for."""
     low = word.lower()
-    keys = []
-    if len(low) <= 8:
-        keys += ["p" + low[:2], "s" + low[-2:]]
-    if len(low) >= 6:
-        keys += ["P" + low[:3], "S" + low[-3:]]
-    return keys
+    halves = {half(n) for n in range(max(1, len(low) - 2), len(low) + 3)}
+    return [k for h in sorted(halves) if h <= len(low) for k in ("p" + low[:h], "s" + low[-h:])]
 
 
 class Trie:
@@ -282,20 +307,20 @@ def difference(odd: str, word: str) -> tuple[str, str]:
 
 def candidates(odd: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(odd, odd_n, word, n, got, was): every vocabulary word within two errors of each odd word, in one place of at most two characters."""
-    buckets = max(8, vocabulary.count() // SHARD_WORDS)
+    buckets = max(32, vocabulary.count() // SHARD_WORDS)
 
-    def keyed(names):
+    def keyed(names, shards):
         def run(batches):
             for batch in batches:
                 word, n = batch.column(0).to_pylist(), batch.column(1)
-                keys = [shard_keys(w) for w in word]
+                keys = [shards(w) for w in word]
                 of = pa.array([i for i, k in enumerate(keys) for _ in k], pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array([x for k in keys for x in k], pa.string()), batch.column(0).take(of), n.take(of)], names=["key", *names])
 
         return run
 
-    v = vocabulary.select("word", "n").mapInArrow(keyed(["word", "n"]), "key string, word string, n long").withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
-    q = odd.select("odd", "odd_n").mapInArrow(keyed(["odd", "odd_n"]), "key string, odd string, odd_n long").withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    v = vocabulary.select("word", "n").mapInArrow(keyed(["word", "n"], shard_keys), "key string, word string, n long").withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    q = odd.select("odd", "odd_n").mapInArrow(keyed(["odd", "odd_n"], asked_keys), "key string, odd string, odd_n long").withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
 
     def look_up(left: pa.Table, right: pa.Table) -> pa.Table:
         asked: dict[str, list] = {}
@@ -309,7 +334,7 @@ def candidates(odd: DataFrame, vocabulary: DataFrame) -> DataFrame:
         for key, words in held.items():
             trie = Trie(words)
             for w, n in asked[key]:
-                for found, _ in trie.within(w, 2):
+                for found, _ in trie.within(w, min(2, len(w) - 1)):
                     if found == w:
                         continue
                     got, was = difference(w, found)
@@ -319,6 +344,8 @@ def candidates(odd: DataFrame, vocabulary: DataFrame) -> DataFrame:
         kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string()]
         return pa.table({k: pa.array(c, t) for k, c, t in zip(("odd", "odd_n", "word", "n", "got", "was"), out, kinds)})
 
+    # the cost of a bucket is in its look-ups, so buckets aren't put together by their bytes
+    q, v = q.repartition(buckets, "bucket"), v.repartition(buckets, "bucket")
     found = q.groupBy("bucket").cogroup(v.groupBy("bucket")).applyInArrow(look_up, "odd string, odd_n long, word string, n long, got string, was string")
     return found.distinct()
 
@@ -331,9 +358,10 @@ def confusions(found: DataFrame) -> dict[tuple[str, str], float]:
     """
     inside = ~F.expr("endswith(odd, got)") & ~F.expr("startswith(odd, got)") & (F.col("got") != "") & (F.col("was") != "")
     single = found.groupBy("odd").agg(F.count("*").alias("k"), F.first("got").alias("got"), F.first("was").alias("was")).filter("k = 1").filter(inside)
-    rows = single.groupBy("got", "was").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "got", "was").limit(MAX_CONFUSIONS).collect()
-    total = sum(r.n for r in rows) or 1
-    return {(r.got, r.was): r.n / total for r in rows if r.n >= 3 and r.n >= 0.004 * total}
+    counted = single.groupBy("got", "was").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_CONFUSED)
+    total = single.count() or 1
+    rows = counted.filter(F.col("n") >= LEAST_SHARE * total).collect()
+    return {(r.got, r.was): r.n / total for r in rows}
 
 
 def _sign(got: str) -> bool:
@@ -352,11 +380,17 @@ def corrections(odd: DataFrame, vocabulary: DataFrame, rows: DataFrame, clean: D
     sign = F.col("got").rlike(r"[^\p{L}]") & F.col("was").rlike(r"^\p{L}")
     ranked = found.filter("got <> '' and was <> ''").join(F.broadcast(table), ["got", "was"], "left").withColumn("weight", F.coalesce("weight", F.when(sign, F.lit(0.002))))
     ranked = stage_table(ranked.filter("weight is not null and n >= %d * odd_n" % RATIO), "ranked")
-    several = ranked.groupBy("odd").agg(F.count("*").alias("k")).filter("k > 1").select("odd")
-    seen = after_same_word(rows, ranked.join(several, "odd", "left_semi").select("odd", "word"), clean, text)
+    asked = ranked.groupBy("odd").agg(F.count("*").alias("k")).filter((F.col("k") > 1) | _like_a_code("odd")).select("odd")
+    seen = after_same_word(rows, ranked.join(asked, "odd", "left_semi").select("odd", "word"), clean, text)
     score = F.log("weight") + F.log(F.col("n") + 1.0) + F.when(F.coalesce("seen", F.lit(0)) > 0, 2.0).otherwise(0.0)
-    best = ranked.join(seen, ["odd", "word"], "left").groupBy("odd").agg(F.max_by("word", F.struct(score, "word")).alias("word"))
-    return best.unionByName(_inside_letters(odd.join(best.select("odd"), "odd", "left_anti"), weight))
+    fitting = ranked.join(seen, ["odd", "word"], "left").filter(~_like_a_code("odd") | (F.col("seen") > 0))
+    best = fitting.groupBy("odd").agg(F.max_by("word", F.struct(score, "word")).alias("word"))
+    return best.unionByName(_inside_letters(odd.join(best.select("odd"), "odd", "left_anti").filter(~_like_a_code("odd")), weight))
+
+
+def _like_a_code(word: str):
+    """Short words of letters with digits before or after them, as numbers of rooms and tables have; as misreadings they need a context."""
+    return (F.char_length(word) < 4) & F.col(word).rlike(r"^(?:\p{L}+\d+|\d+\p{L}+)$")
 
 
 def _inside_letters(odd: DataFrame, weight: dict[tuple[str, str], float]) -> DataFrame:
@@ -426,7 +460,7 @@ def repair(pages: DataFrame, clean: DataFrame, text: str = "text") -> tuple[Data
     known = {r.word for r in vocabulary.orderBy(F.desc("n"), "word").limit(KNOWN).select("word").collect()}
     rows = stage_table(read_pages(pages, known), "page_rows")
     rare = rows.filter("kind = 'token'").groupBy(F.col("token").alias("odd")).agg(F.count("*").alias("odd_n"))
-    odd = rare.filter((F.char_length("odd") >= 3) & F.col("odd").rlike(r"\p{L}")).join(vocabulary.select(F.col("word").alias("odd")), "odd", "left_anti")
+    odd = rare.filter((F.char_length("odd") >= 2) & F.col("odd").rlike(r"\p{L}")).join(vocabulary.select(F.col("word").alias("odd")), "odd", "left_anti")
     return rows, stage_table(corrections(odd, vocabulary, rows, clean, text), "fixes")
 
 

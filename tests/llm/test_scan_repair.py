@@ -24,6 +24,41 @@ def test_automaton_finds_every_word_within_distance(words, query, errors):
     assert got == {w: distance(query, w) for w in set(words) if distance(query, w) <= errors}
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text("abcdefg", min_size=1, max_size=12), st.integers(0, 12), st.text("abcdefg", max_size=2), st.text("abcdefg1|", min_size=1, max_size=2))
+def test_every_misreading_asks_a_shard_of_its_word(x, at, was, got):
+    word, odd = x[:at] + was + x[at:], x[:at] + got + x[at:]
+    if len(odd) >= 2 and word and odd != word and distance(odd, word) <= min(2, len(odd) - 1):
+        assert set(sr.asked_keys(odd)) & set(sr.shard_keys(word))
+
+
+def test_look_ups_against_brute_force(spark):
+    """Words of two letters and more, misread at any place."""
+    r = random.Random(3)
+    vocabulary = sorted({"".join(r.choice("abcdeinrstu") for _ in range(r.choice([2, 3, 3, 4, 5, 7, 9]))) for _ in range(300)} | {"die", "und", "im", "Erna"})
+    odd = {"d1e", "u0d", "1m", "Ema"}
+    for w in vocabulary[::3]:
+        at = r.randrange(len(w))
+        odd.add(w[:at] + r.choice("01|c") + w[at + r.choice([1, 1, 2]) :])
+    odd = sorted(w for w in odd if len(w) >= 2 and w not in vocabulary)
+    found = sr.candidates(spark.createDataFrame([(w, 1) for w in odd], "odd string, odd_n long"), spark.createDataFrame([(w, 1) for w in vocabulary], "word string, n long"))
+    true = set()
+    for o in odd:
+        for w in vocabulary:
+            got, was = sr.difference(o, w)
+            if len(got) <= 2 and len(was) <= 2 and got.lower() != was.lower() and distance(o, w) <= min(2, len(o) - 1):
+                true.add((o, w))
+    assert {(x.odd, x.word) for x in found.collect()} == true and {("d1e", "die"), ("u0d", "und"), ("1m", "im"), ("Ema", "Erna")} <= true
+
+
+def test_running_heads_of_a_long_document():
+    """Thirty chapters with a running head each; all are found, and the same in a short document."""
+    heads = ["Kapitel über " + w for w in ("Wasserwerke Straßen Brücken Schulen Wälder Märkte Friedhöfe Brunnen Sportplätze Museen Archive Bäder Theater Kliniken Mühlen".split())]
+    pages = [[h, f"Ein Satz nur für {chr(97 + i)}{h[-3:]} und Seite {k}", "Ende des Textes " + h[-4:] * (i + 2)] for k, h in enumerate(heads) for i in range(3)]
+    assert sr.furniture(pages) == [{0}] * len(pages)
+    assert sr.furniture(pages[:3]) == [{0}] * 3
+
+
 def test_furniture_and_broken_words():
     pages = [["Gemeinde A – Bericht über das Netz", "Der Text be-", "ginnt hier und die Klima-", "und Energieziele " + "xyz"[i - 1] * 9, "■ .", f"Seite {i} von 3"] for i in (1, 2, 3)]
     frame = sr.furniture(pages)
