@@ -221,6 +221,13 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(b, "group").filter("entity_id_a < entity_id_b").select("entity_id_a", "entity_id_b")
 
 
+@query("p7_groups")
+def p7_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of every row with a name, and the rows of the group."""
+    g = name_variants.stage_table(_named(spark, sf_dir).select("entity_id", "group"), "groups")
+    return g.join(g.groupBy("group").agg(F.min("entity_id").alias("first_id"), F.count("*").alias("n_rows")), "group").select("entity_id", "first_id", "n_rows")
+
+
 @query("p7_canonical")
 def p7_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical name of every row."""
