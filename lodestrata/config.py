@@ -18,6 +18,8 @@ class Config:
     critic_loops: int = 3
     fetch_tries: int = 3
     fetch_delay_s: float = 0.2
+    fetch_at_once: int = 100
+    fetch_per_host: int = 4
     fetch_most_bytes: int = 200 * 1024 * 1024
 
     @classmethod

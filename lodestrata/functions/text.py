@@ -33,9 +33,16 @@ def is_negative(c: Column) -> Column:
     return c.rlike(lexicon.java(lexicon.NEGATIVE)).cast("int")
 
 
+def segment_features(c: Column) -> Column:
+    """(impact_score, hit_count, is_negative): 25 for each hit, 80 less for a negative text, and one for each 250 characters up to eight."""
+    found, negative = hits(c, lexicon.POSITIVE), is_negative(c)
+    return F.struct(
+        (25 * found - 80 * negative + F.least(F.floor(F.char_length(c) / 250), F.lit(8)).cast("int")).alias("impact_score"), found.alias("hit_count"), negative.alias("is_negative")
+    )
+
+
 def segment_score(c: Column) -> Column:
-    """25 for each hit, 80 less for a negative text, and one for each 250 characters up to eight."""
-    return 25 * hits(c, lexicon.POSITIVE) - 80 * is_negative(c) + F.least(F.floor(F.char_length(c) / 250), F.lit(8)).cast("int")
+    return segment_features(c)["impact_score"]
 
 
 def clean_ws(c: Column) -> Column:

@@ -26,16 +26,18 @@ def depth(c: Column) -> Column:
     return F.size(F.filter(F.split(F.regexp_extract(c, r"^[^:]+://[^/?#]*([^?#]*)", 1), "/"), lambda x: x != ""))
 
 
-def norm_domain(c: Column) -> Column:
-    """Domain without scheme, port and final dots."""
+def norm_domain(c: Column, keep_www: bool = False) -> Column:
+    """Domain without scheme, port, leading ``www.`` and final dots."""
     d = F.lower(F.trim(F.coalesce(c, F.lit(""))))
-    d = F.when(d.contains("://"), F.regexp_extract(d, r"://(?:[^/?#@]*@)?([^/?#]*)", 1)).otherwise(d)
-    return F.rtrim(F.regexp_replace(d, r":.*$", ""), F.lit("."))
+    d = F.when(F.startswith(d, F.lit("//")), F.concat(F.lit("http:"), d)).otherwise(d)
+    d = F.when(d.contains("://"), F.regexp_extract(d, r"://([^/?#]*)", 1)).otherwise(d)
+    d = F.regexp_replace(d, r":.*$", "")
+    return F.rtrim(d if keep_www else F.regexp_replace(d, r"^www\.", ""), F.lit("."))
 
 
 def allowed_domains(raw: Column, homepage: Column) -> Column:
     """Distinct sorted domains of a piped list, or the homepage's where the list has none."""
-    listed = F.array_sort(F.array_distinct(F.filter(F.transform(F.split(F.coalesce(raw, F.lit("")), r"\|"), norm_domain), lambda d: d != "")))
+    listed = F.array_sort(F.array_distinct(F.filter(F.transform(F.split(F.coalesce(raw, F.lit("")), r"\|"), lambda d: norm_domain(d, keep_www=True)), lambda d: d != "")))
     own = host(homepage)
     return F.when(F.size(listed) > 0, listed).when(own != "", F.array(own)).otherwise(F.array().cast("array<string>"))
 
@@ -62,25 +64,31 @@ def _folded_path(path: Column) -> Column:
     return F.concat(F.lit("/"), F.array_join(kept, "/"))
 
 
+def _decoded(c: Column) -> Column:
+    """A part of a query with its escapes resolved; left alone where they are malformed."""
+    return F.coalesce(F.try_url_decode(c), c)
+
+
+def _encoded(c: Column) -> Column:
+    return F.replace(F.replace(F.url_encode(c), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
 def canonical(c: Column) -> Column:
     """Canonical form of an http(s) URL, empty for any other: host lower-cased and without default port, path folded,
-    tracking parameters dropped, parameters sorted, no fragment."""
-    u = F.trim(F.coalesce(c, F.lit("")))
+    tracking parameters dropped, parameters sorted by name and value and encoded anew, no fragment."""
+    u = F.regexp_replace(F.trim(F.coalesce(c, F.lit(""))), r"[\t\r\n]", "")
     sch = scheme(u)
-    net = F.lower(F.regexp_extract(u, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
-    net = F.when(sch == "http", F.regexp_replace(net, r":80$", "")).otherwise(F.regexp_replace(net, r":443$", ""))
+    net = F.lower(F.trim(F.regexp_extract(u, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)))
+    port = F.when(sch == "http", "80").otherwise("443")
+    net = F.when(net.rlike(r"^(?:\[[^\]]+\]|[^:]+):\d+$") & (F.substring_index(net, ":", -1) == port), F.regexp_replace(net, r":\d+$", "")).otherwise(net)
     path = F.regexp_extract(u, r"^[^:]+://[^/?#]*([^?#]*)", 1)
     query = F.regexp_extract(u, r"^[^?#]*\?([^#]*)", 1)
-    pairs = F.filter(F.split(query, "&"), lambda p: p != "")
-    key = lambda p: F.lower(F.substring_index(p, "=", 1))
-    dropped = lambda p: key(p).isin(lexicon.DROPPED_PARAMETERS) | F.reduce(F.array(*[F.lit(x) for x in lexicon.DROPPED_PREFIXES]), F.lit(False), lambda acc, x: acc | F.startswith(key(p), x))
-    value = lambda p: F.when(p.contains("="), F.regexp_extract(p, r"=(.*)$", 1)).otherwise(F.lit(""))
-    kept = F.filter(pairs, lambda p: ~dropped(p))
-    ordered = F.transform(
-        F.array_sort(F.transform(kept, lambda p: F.struct(key(p).alias("k"), value(p).alias("v"), F.substring_index(p, "=", 1).alias("name")))),
-        lambda s: F.concat(s["name"], F.lit("="), s["v"]),
-    )
-    out = F.concat(sch, F.lit("://"), net, _folded_path(path), F.when(F.size(ordered) > 0, F.concat(F.lit("?"), F.array_join(ordered, "&"))).otherwise(F.lit("")))
+    name = lambda p: _decoded(F.substring_index(p, "=", 1))
+    value = lambda p: _decoded(F.when(p.contains("="), F.regexp_extract(p, r"(?s)=(.*)$", 1)).otherwise(F.lit("")))
+    pairs = F.transform(F.filter(F.split(query, "&"), lambda p: p != ""), lambda p: F.struct(F.lower(name(p)).alias("k"), value(p).alias("v"), name(p).alias("name")))
+    dropped = lambda k: k.isin(lexicon.DROPPED_PARAMETERS) | F.exists(F.array(*[F.lit(x) for x in lexicon.DROPPED_PREFIXES]), lambda x: F.startswith(k, x))
+    kept = F.transform(F.array_sort(F.filter(pairs, lambda p: ~dropped(p["k"]))), lambda p: F.concat(_encoded(p["name"]), F.lit("="), _encoded(p["v"])))
+    out = F.concat(sch, F.lit("://"), net, _folded_path(path), F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise(F.lit("")))
     return F.when(sch.isin("http", "https") & (net != ""), out).otherwise(F.lit(""))
 
 
@@ -107,16 +115,34 @@ def is_trap(c: Column, depth: Column, longest: int = 2048, most_params: int = 60
     )
 
 
+def _undotted(path: Column) -> Column:
+    """Path without dot segments; a slash at its end stays, never above the root."""
+    steps = F.split(path, "/", -1)
+    kept = F.aggregate(
+        F.slice(steps, 2, F.greatest(F.size(steps) - 1, F.lit(0))),
+        F.array().cast("array<string>"),
+        lambda acc, x: F.when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).when(x == ".", acc).otherwise(F.array_append(acc, x)),
+    )
+    ends = F.element_at(steps, -1).isin(".", "..") & (F.size(kept) > 0)
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(ends, F.lit("/")).otherwise(F.lit("")))
+
+
 def join(base: Column, href: Column) -> Column:
-    """Absolute URL of a reference found on a page."""
+    """Absolute URL of a reference found on a page: absolute, of the same scheme, of the root, of the query or fragment alone, or relative with dot segments."""
+    h = F.coalesce(href, F.lit(""))
     origin = F.regexp_extract(base, r"^([^:]+://[^/?#]*)", 1)
-    folder = F.regexp_extract(base, r"^([^?#]*/)", 1)
+    own_path = F.regexp_extract(base, r"^[^:]+://[^/?#]*([^?#]*)", 1)
+    own_query = F.regexp_extract(base, r"^[^?#]*(\?[^#]*)", 1)
+    path, rest = F.regexp_extract(h, r"^([^?#]*)", 1), F.regexp_extract(h, r"^[^?#]*(.*)$", 1)
+    folder = F.concat(F.lit("/"), F.regexp_extract(own_path, r"^/?(.*/)?", 1))
     return (
-        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
-        .when(F.startswith(href, F.lit("//")), F.concat(scheme(base), F.lit(":"), href))
-        .when(F.startswith(href, F.lit("/")), F.concat(origin, href))
-        .when(F.startswith(href, F.lit("?")), F.concat(F.regexp_extract(base, r"^([^?#]*)", 1), href))
-        .otherwise(F.concat(folder, href))
+        F.when(h == "", base)
+        .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
+        .when(F.startswith(h, F.lit("//")), F.concat(scheme(base), F.lit(":"), h))
+        .when(F.startswith(h, F.lit("/")), F.concat(origin, _undotted(path), rest))
+        .when(F.startswith(h, F.lit("?")), F.concat(origin, own_path, h))
+        .when(F.startswith(h, F.lit("#")), F.concat(origin, own_path, own_query, h))
+        .otherwise(F.concat(origin, _undotted(F.concat(folder, path)), rest))
     )
 
 

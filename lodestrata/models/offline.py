@@ -101,6 +101,24 @@ def overlap(a: Column, b: Column) -> Column:
     return F.when(F.size(w) > 0, F.size(F.array_intersect(w, _words(b))) / F.size(w))
 
 
+def claims(answer: Column, most: int = 10) -> Column:
+    """Sentences of an answer that state something: at least three longer words, the first ``most``."""
+    parts = F.transform(F.split(F.coalesce(answer, F.lit("")), r"(?<=[.!?])\s+"), lambda x: F.trim(x))
+    return F.slice(F.filter(parts, lambda x: F.size(_words(x)) >= 3), 1, most)
+
+
+def claim_support(answer: Column, context: Column, least: float = 0.6) -> Column:
+    """(claims, supported): how many claims of an answer there are and how many share enough words with the context; the same claims count for both."""
+    found = claims(answer)
+    return F.struct(F.size(found).alias("claims"), F.size(F.filter(found, lambda x: F.coalesce(overlap(x, context), F.lit(0.0)) >= least)).alias("supported"))
+
+
+def compare(question: Column, a: Column, b: Column) -> Column:
+    """Winner of two answers: the one that shares more words with the question, then the one with more different words, else a tie."""
+    of = lambda x: F.struct(F.coalesce(overlap(question, x), F.lit(0.0)).alias("o"), F.size(_words(x)).alias("w"))
+    return F.when(of(a) > of(b), "A").when(of(b) > of(a), "B").otherwise("tie")
+
+
 def judge(question: Column, answer: Column, context: Column) -> Column:
     """(faithfulness, recall) by shared words."""
     return F.struct(F.round(overlap(answer, context), 4).alias("faithfulness"), F.round(overlap(question, context), 4).alias("recall"))
@@ -112,14 +130,23 @@ def to_query(question: Column) -> Column:
     return F.when(F.lower(question).rlike("wie viele|how many"), F.concat(F.lit("SELECT count(*) AS n FROM documents WHERE place = '"), place, F.lit("'"))).otherwise(F.lit("SELECT document_id FROM documents LIMIT 50"))
 
 
+#: Types of entities that a reply may have; others are left out.
+ENTITY_TYPES = ["Akteur", "Dokument", "Infrastruktur", "Konzept/Ziel", "Maßnahme", "Ort"]
+
+
 def parse_reply(c: Column) -> Column:
-    """Entities and relationships of a model's reply: fences dropped, the outermost braces taken, empty lists if it can't be read."""
-    plain = tx.without_fences(c)
-    inner = F.regexp_extract(plain, r"(?s)(\{.*\})", 1)
+    """Entities and relationships of a model's reply: fences dropped, else the outermost braces taken; empty lists if it can't be read.
+
+    Entities without a name or of an unknown type are left out; unknown relations become the general one.
+    """
     schema = "struct<entities:array<struct<name:string,type:string>>,relationships:array<struct<source_entity:string,relation_type:string,target_entity:string>>>"
-    kg = F.from_json(inner, schema)
+    plain = tx.without_fences(c)
+    kg = F.coalesce(F.from_json(F.when(F.startswith(plain, F.lit("{")), plain), schema), F.from_json(F.regexp_extract(plain, r"(?s)(\{.*\})", 1), schema))
     empty = F.from_json(F.lit('{"entities":[],"relationships":[]}'), schema)
-    return F.struct(F.coalesce(kg["entities"], empty["entities"]).alias("entities"), F.coalesce(kg["relationships"], empty["relationships"]).alias("relationships"))
+    entities = F.filter(F.coalesce(kg["entities"], empty["entities"]), lambda e: F.coalesce(F.trim(e["name"]) != "", F.lit(False)) & e["type"].isin(ENTITY_TYPES))
+    whole = F.filter(F.coalesce(kg["relationships"], empty["relationships"]), lambda r: r["source_entity"].isNotNull() & r["target_entity"].isNotNull())
+    relations = F.transform(whole, lambda r: F.struct(r["source_entity"].alias("source_entity"), tx.safe_relation(r["relation_type"]).alias("relation_type"), r["target_entity"].alias("target_entity")))
+    return F.struct(entities.alias("entities"), relations.alias("relationships"))
 
 
 def critic(answer: Column, context: Column, least: float = 0.5) -> Column:

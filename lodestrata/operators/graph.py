@@ -65,20 +65,28 @@ def modularity(edges: DataFrame, membership: DataFrame) -> DataFrame:
     return per.crossJoin(F.broadcast(total)).agg(F.sum(F.col("inside") / F.col("m2") - (F.col("k") / F.col("m2")) ** 2).alias("modularity"))
 
 
-def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
-    """(node, component): the least node reachable, by spreading and jumping labels over written tables."""
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component): the least node reachable, by spreading and jumping labels over written tables until none changes."""
     e = stage_table(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct(), "edges")
-    labels = stage_table(e.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.first("src")).alias("component")), "labels")
-    for _ in range(max_rounds):
+    labels = stage_table(e.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.first("src")).alias("component")).withColumn("moved", F.lit(True)), "labels")
+    while not labels.filter("moved").isEmpty():
         seen = e.join(labels.select(F.col("node").alias("dst"), "component"), "dst").groupBy(F.col("src").alias("node")).agg(F.min("component").alias("near"))
         new = labels.join(seen, "node").select("node", "component", F.least("component", "near").alias("new"))
         jump = new.join(labels.select(F.col("node").alias("new"), F.col("component").alias("over")), "new", "left")
-        after = stage_table(jump.select("node", F.least("new", F.coalesce("over", "new")).alias("component"), (F.least("new", F.coalesce("over", "new")) != F.col("component")).alias("moved")), "labels")
-        moved = after.filter("moved").limit(1).count()
-        labels = after.drop("moved")
-        if not moved:
-            break
-    return labels
+        to = F.least("new", F.coalesce("over", "new"))
+        labels = stage_table(jump.select("node", to.alias("component"), (to != F.col("component")).alias("moved")), "labels", replaces=labels)
+    return labels.select("node", "component")
+
+
+def ancestors(up: DataFrame) -> DataFrame:
+    """(node, ancestor): all nodes reached from each over edges (node, parent), by paths of doubled length until no pair is new; cycles end too."""
+    known = stage_table(up.select("node", F.col("parent").alias("ancestor")).distinct(), "ancestors")
+    n, before = known.count(), -1
+    while n != before:
+        further = known.join(known.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("over")), "ancestor").select("node", F.col("over").alias("ancestor"))
+        known = stage_table(known.unionByName(further).distinct(), "ancestors", replaces=known)
+        n, before = known.count(), n
+    return known
 
 
 def within_hops(edges: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:

@@ -26,3 +26,12 @@ def within_places(a: DataFrame, b: DataFrame, group: str, place: str, other: str
     left = a.withColumn("_b", F.explode(F.array(*[F.floor(F.col(place) / width) + i for i in (-1, 0, 1)])))
     right = b.withColumn("_b", F.floor(F.col(other) / width))
     return left.join(right, [group, "_b"]).filter(F.abs(F.col(place) - F.col(other)) <= width).drop("_b")
+
+
+def following(df: DataFrame, key: str, value: str) -> DataFrame:
+    """(key, next_<value>): the value of the next greater key, its own for the last; numbered by ranges, not in one task."""
+    from .passages import numbered
+
+    n = numbered(df.select(key, value), key)
+    after = n.select((F.col("rn") - 1).alias("rn"), F.col(value).alias("_next"))
+    return n.join(after, "rn", "left").select(key, F.coalesce("_next", value).alias(f"next_{value}"))

@@ -72,3 +72,15 @@ def since_last(df: DataFrame, group: list[str], order: list[str], found: str) ->
     island = df.withColumn("_island", F.sum(F.col(found).cast("int")).over(w))
     place = F.row_number().over(Window.partitionBy(*group, "_island").orderBy(*order))
     return island.withColumn("since", place - F.when(F.col("_island") > 0, 1).otherwise(0)).drop("_island")
+
+
+def spaced(df: DataFrame, group: list[str], order: list[str], asked: str, gap: int) -> DataFrame:
+    """Adds ``start``: when each row of a group may start so that neighbours are ``gap`` apart, never before it asked.
+
+    The earliest start of row i is the greatest of what any row j before it
+    asked for plus ``gap`` for each row from j to i, so a running maximum gives it.
+    """
+    w = Window.partitionBy(*group).orderBy(*order)
+    n = df.withColumn("_n", F.row_number().over(w))
+    latest = F.max(F.col(asked) - F.col("_n") * gap).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return n.withColumn("start", latest + F.col("_n") * gap).drop("_n")

@@ -26,5 +26,23 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def cases(spark, rows: list[tuple], schema: str):
+    """A table of given rows."""
+    return spark.createDataFrame([tuple(r) for r in rows], schema)
+
+
+def cases_sql(rows: list[tuple], names: str) -> str:
+    """The same as SQL; strings, numbers, truth values and nulls."""
+
+    def one(v):
+        if v is None:
+            return "NULL"
+        if isinstance(v, bool):
+            return "TRUE" if v else "FALSE"
+        return str(v) if isinstance(v, (int, float)) else "'" + str(v).replace("'", "''") + "'"
+
+    return f"(SELECT * FROM (VALUES {', '.join('(' + ', '.join(one(v) for v in r) + ')' for r in rows)}) AS t({names}))"
+
+
 # Every module registers its queries when it is imported.
-from . import graphs, jobs, models, scalars, sinks, store  # noqa: E402, F401
+from . import graphs, jobs, models, scalars, sinks, store, web  # noqa: E402, F401

@@ -17,14 +17,15 @@ def supply(spark, sf):
     return table(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("src"), F.col("l_partkey").alias("dst")).agg(F.count("*").alias("weight"))
 
 
-@query("gr_base_edges", f"""WITH {DOCS_SQL}, {SEG_SQL}, {CHUNK_SQL} SELECT 'HAS_DOCUMENT' AS rel, count(*) AS n FROM (SELECT DISTINCT municipality_id, document_id FROM docs)
-UNION ALL SELECT 'HAS_SEGMENT', count(*) FROM (SELECT DISTINCT document_id, segment_id FROM seg) UNION ALL SELECT 'HAS_CHUNK', count(*) FROM (SELECT DISTINCT segment_id, chunk_id FROM ch WHERE segment_id IS NOT NULL)""")
+@query("gr_base_edges", f"""WITH {DOCS_SQL}, {SEG_SQL}, {CHUNK_SQL} SELECT DISTINCT 'HAS_DOCUMENT' AS rel, municipality_id AS src, CAST(document_id AS VARCHAR) AS dst FROM docs WHERE municipality_id IS NOT NULL
+UNION ALL SELECT DISTINCT 'HAS_SEGMENT', CAST(document_id AS VARCHAR), segment_id FROM seg UNION ALL SELECT DISTINCT 'HAS_CHUNK', segment_id, chunk_id FROM ch WHERE segment_id IS NOT NULL""")
 def gr_base_edges(spark, sf):
-    count = lambda df, rel: df.distinct().agg(F.lit(rel).alias("rel"), F.count("*").alias("n"))
+    """Edges of the containment hierarchy, each once."""
+    edge = lambda df, rel, a, b: df.select(F.lit(rel).alias("rel"), F.col(a).cast("string").alias("src"), F.col(b).cast("string").alias("dst"))
     return (
-        count(docs(spark, sf, "municipality_id"), "HAS_DOCUMENT")
-        .unionByName(count(segments(spark, sf, "document_id"), "HAS_SEGMENT"))
-        .unionByName(count(chunks(spark, sf, "segment_id", where="segment_id is not null"), "HAS_CHUNK"))
+        edge(docs(spark, sf, "municipality_id").filter("municipality_id is not null"), "HAS_DOCUMENT", "municipality_id", "document_id")
+        .unionByName(edge(segments(spark, sf, "document_id"), "HAS_SEGMENT", "document_id", "segment_id"))
+        .unionByName(edge(chunks(spark, sf, "segment_id", where="segment_id is not null"), "HAS_CHUNK", "segment_id", "chunk_id"))
     )
 
 
@@ -128,9 +129,7 @@ def gr_transitive_admin(spark, sf):
     """All units in which a place lies, by following containment."""
     c, n = table(spark, sf, "customer"), table(spark, sf, "nation")
     up = c.select(F.concat(F.lit("c"), "c_custkey").alias("node"), F.concat(F.lit("n"), "c_nationkey").alias("parent")).unionByName(n.select(F.concat(F.lit("n"), "n_nationkey").alias("node"), F.concat(F.lit("r"), "n_regionkey").alias("parent")))
-    up.createOrReplaceTempView("containment")
-    return spark.sql("""WITH RECURSIVE t AS (SELECT node, parent AS ancestor, 1 AS depth FROM containment UNION ALL SELECT t.node, u.parent, t.depth + 1 FROM t JOIN containment u ON t.ancestor = u.node WHERE t.depth < 8)
-        SELECT DISTINCT node, ancestor FROM t""")
+    return graph.ancestors(up)
 
 
 @query("gr_frontier_bfs", f"""WITH {EDGE_SQL}, u AS (SELECT 's' || src AS a, 'p' || dst AS b FROM e), g AS (SELECT a, b FROM u UNION ALL SELECT b, a FROM u), h1 AS (SELECT DISTINCT b AS node FROM g WHERE a = 's1'),
@@ -142,15 +141,6 @@ def gr_frontier_bfs(spark, sf):
     return graph.within_hops(both, spark.createDataFrame([("s1",)], "node string"), 2)
 
 
-@query("gr_links", f"WITH {DOCS_SQL} SELECT DISTINCT a.document_id AS src, b.document_id AS dst FROM docs a JOIN docs b ON a.raw_hash = b.raw_hash AND a.document_id < b.document_id")
-def gr_links(spark, sf):
-    """Documents with the same body, linked to the first of them and to each other."""
-    d = docs(spark, sf, "raw_hash").filter("raw_hash is not null")
-    several = d.groupBy("raw_hash").agg(F.count("*").alias("n")).filter("n > 1").select("raw_hash")
-    d = d.join(several, "raw_hash", "left_semi").select("raw_hash", "document_id")
-    return d.withColumnRenamed("document_id", "src").join(d.withColumnRenamed("document_id", "dst"), "raw_hash").filter("src < dst").select("src", "dst")
-
-
 @query("gr_community")
 def gr_community(spark, sf):
     """Communities of suppliers that deliver to the same orders."""

@@ -10,17 +10,21 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..models import offline
-from ..functions import text
+from ..functions import lexicon, text
 from ..session import stage_table, table
-from ..sources import html, wiki
 from .catalog import query
 from .store import SEG_SQL, chunks, docs, segments
 
 
-@query("udf_scorer", f"WITH {SEG_SQL} SELECT segment_id, least(length(text) // 250, 8) AS points FROM seg WHERE text IS NOT NULL")
+_HITS = f"len(regexp_extract_all(text, '{lexicon.re2(lexicon.POSITIVE)}'))"
+_NEG = f"CAST(regexp_matches(text, '{lexicon.re2(lexicon.NEGATIVE)}') AS INTEGER)"
+
+
+@query("udf_scorer", f"""WITH {SEG_SQL}, f AS (SELECT segment_id, {_HITS} AS hit_count, {_NEG} AS is_negative, least(length(text) // 250, 8) AS bonus FROM seg WHERE text IS NOT NULL)
+SELECT segment_id, 25 * hit_count - 80 * is_negative + bonus AS impact_score, hit_count, is_negative FROM f""")
 def udf_scorer(spark, sf):
-    """A scorer plugged in as an expression."""
-    return segments(spark, sf, F.least(F.floor(F.char_length("text") / 250), F.lit(8)).alias("points"), where="text is not null")
+    """Score, hits and negative mark of each segment; any scorer of this form can be plugged in."""
+    return segments(spark, sf, text.segment_features(F.col("text")).alias("f"), where="text is not null").select("segment_id", "f.*")
 
 
 @query("udf_embed")
@@ -113,65 +117,6 @@ def udf_text2query(spark, sf):
     return _titles(spark, sf).select("document_id", offline.to_query(F.col("title")).alias("query"))
 
 
-@query("fn_json_parse_kg", f"WITH {SEG_SQL} SELECT segment_id, 1 AS n FROM seg WHERE heading_context IS NOT NULL")
-def fn_json_parse_kg(spark, sf):
-    """Replies in code fences, read back."""
-    s = segments(spark, sf, "heading_context", where="heading_context is not null")
-    reply = F.concat(F.lit("```json\n"), F.to_json(F.struct(F.array(F.struct(F.col("heading_context").alias("name"), F.lit("Dokument").alias("type"))).alias("entities"))), F.lit("\n```"))
-    return s.select("segment_id", F.size(offline.parse_reply(reply)["entities"]).alias("n"))
-
-
-def _as_html(spark, sf):
-    """Pages made of the stored segments."""
-    tag = F.when(F.col("segment_type") == "heading", "h2").when(F.col("segment_type") == "list_item", "li").otherwise("p")
-    body = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
-    s = segments(spark, sf, "document_id", "order_index", "segment_type", "text", where="page_ref is null and text is not null").select("document_id", F.struct("order_index", "segment_id", F.concat(F.lit("<"), tag, F.lit(">"), body, F.lit("</"), tag, F.lit(">")).alias("h")).alias("x"))
-    page = F.concat(F.lit("<html><head><title>Seite</title></head><body><nav>Menü</nav>"), F.array_join(F.transform(F.sort_array(F.collect_list("x")), lambda x: x["h"]), "\n"), F.lit("<a href='/klima'>Klima</a></body></html>"))
-    return s.groupBy("document_id").agg(page.alias("html"))
-
-
-@query("src_html", f"WITH {SEG_SQL} SELECT document_id, count(*) FILTER (segment_type = 'heading') AS n_headings FROM seg WHERE page_ref IS NULL AND text IS NOT NULL GROUP BY 1")
-def src_html(spark, sf):
-    """Headings read back from pages."""
-    p = html.parse(_as_html(spark, sf), "document_id", "html")
-    return p.select("document_id", F.size(F.filter("segments", lambda s: s["segment_type"] == "heading")).cast("long").alias("n_headings"))
-
-
-@query("udtf_parse")
-def udtf_parse(spark, sf):
-    p = html.parse(_as_html(spark, sf), "document_id", "html")
-    return p.select("document_id", F.explode("segments").alias("s")).select("document_id", "s.*")
-
-
-@query("fn_meta_map")
-def fn_meta_map(spark, sf):
-    p = html.parse(_as_html(spark, sf), "document_id", "html")
-    return p.select("document_id", "title", F.size("meta").alias("n_meta"), F.size("links").alias("n_links"))
-
-
-@query("src_wiki_section", "SELECT name AS title FROM municipalities WHERE name NOT LIKE '%:%' GROUP BY 1")
-def src_wiki_section(spark, sf):
-    """Titles read back from a list page."""
-    m = table(spark, sf, "municipalities").select("name").filter("name is not null and name not like '%:%'").distinct()
-    page = m.agg(F.concat(F.lit("Vorwort [[Anderes]]\n== Orte ==\n"), F.array_join(F.transform(F.sort_array(F.collect_list("name")), lambda n: F.concat(F.lit("* [["), n, F.lit("|Ort]] [[Datei:x.png]]"))), "\n"), F.lit("\n== Ende ==\n[[Schluss]]")).alias("t")).withColumn("page", F.lit(1))
-    return wiki.entries(page, "page", "t", "Orte").select("title")
-
-
-@query("src_wiki_api", "SELECT wikidata_qid AS qid, min_by(ags, (-coalesce(is_kreisfrei, -1), ags)) AS ags FROM municipalities WHERE wikidata_qid IS NOT NULL GROUP BY 1")
-def src_wiki_api(spark, sf):
-    """One page for each item, cities first."""
-    m = table(spark, sf, "municipalities").filter("wikidata_qid is not null")
-    return m.groupBy(F.col("wikidata_qid").alias("qid")).agg(F.min_by("ags", F.struct(-F.coalesce("is_kreisfrei", F.lit(-1)), "ags")).alias("ags"))
-
-
-@query("src_sparql", "SELECT m.ags, n.cnt AS same_district FROM municipalities m LEFT JOIN (SELECT landkreis, count(*) AS cnt FROM municipalities WHERE landkreis IS NOT NULL GROUP BY 1) n ON m.landkreis = n.landkreis")
-def src_sparql(spark, sf):
-    """Optional parts of a query as left joins."""
-    m = table(spark, sf, "municipalities")
-    n = m.filter("landkreis is not null").groupBy("landkreis").agg(F.count("*").alias("same_district"))
-    return m.select("ags", "landkreis").join(n, "landkreis", "left").select("ags", "same_district")
-
-
 def _similar(batches):
     for batch in batches:
         a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -298,28 +243,6 @@ def udf_llm_critic(spark, sf):
     return segments(spark, sf, offline.critic(F.col("heading_context"), F.col("text")).alias("supported"), where="heading_context is not null and text is not null")
 
 
-@query("src_http", "SELECT DISTINCT url_canonical AS url, 200 AS status FROM documents_raw WHERE url_canonical IS NOT NULL")
-def src_http(spark, sf):
-    """Fetches every URL with a fetcher that answers offline."""
-    from ..sources import fetch
-
-    return fetch.fetch(table(spark, sf, "documents_raw"), "url_canonical", offline_page).select("url", "status")
-
-
-@query("src_cache", "SELECT DISTINCT url_canonical AS url, CASE WHEN contains(url_canonical, 'beschluss') THEN 304 ELSE 200 END AS status FROM documents_raw WHERE url_canonical IS NOT NULL")
-def src_cache(spark, sf):
-    """Fetches only what a cache lacks."""
-    from ..sources import fetch
-
-    r = table(spark, sf, "documents_raw")
-    cache = r.filter("url_canonical like '%beschluss%'").select(F.col("url_canonical").alias("url"), F.lit(304).alias("status"), F.lit("text/html").alias("content_type"), F.lit(b"").alias("body"), F.lit(None).cast("string").alias("error")).dropDuplicates(["url"])
-    return fetch.cached(r, "url_canonical", cache, offline_page).select("url", "status")
-
-
-def offline_page(url):
-    return 200, "text/html", b"<html></html>", None
-
-
 @query("fn_vec_pack", "SELECT vec_id, len(embedding) * 4 AS n_bytes FROM embeddings")
 def fn_vec_pack(spark, sf):
     """Vectors as bytes of 32-bit floats and back; rows that don't survive are left out."""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon, text, urls
 from ..session import table
-from .catalog import query
+from .catalog import cases, cases_sql, query
 from .store import DOCS_SQL, SEG_SQL, _links, chunks, docs, segments
 
 
@@ -144,9 +144,19 @@ def fn_norm_name(spark, sf):
     return table(spark, sf, "entity_canonical").select("entity_id", text.norm_name(F.col("original_name")).alias("name")).distinct()
 
 
-@query("fn_norm_domain", "SELECT ags, rtrim(regexp_replace(CASE WHEN contains(d, '://') THEN regexp_extract(d, '://([^/?#@]*@)?([^/?#]*)', 2) ELSE d END, ':.*$', ''), '.') AS domain FROM (SELECT ags, lower(trim(coalesce(homepage_url, ''))) AS d FROM municipalities)")
+DOMAINS = [
+    ("https://www.Musterstadt.example/rathaus", "musterstadt.example"), ("WWW.beispiel.example.", "beispiel.example"), ("//www.a.example:8080/x", "a.example"),
+    ("b.example:443", "b.example"), ("  c.example ", "c.example"), ("wwwd.example", "wwwd.example"), ("", ""), (None, ""),
+]
+
+
+@query("fn_norm_domain", f"""SELECT ags AS item, rtrim(regexp_replace(regexp_replace(CASE WHEN contains(d, '://') THEN regexp_extract(d, '://([^/?#]*)', 1) ELSE d END, ':.*$', ''), '^www[.]', ''), '.') AS domain
+FROM (SELECT ags, lower(trim(coalesce(homepage_url, ''))) AS d FROM municipalities) UNION ALL SELECT coalesce(item, '-'), domain FROM {cases_sql(DOMAINS, "item, domain")}""")
 def fn_norm_domain(spark, sf):
-    return table(spark, sf, "municipalities").select("ags", urls.norm_domain(F.col("homepage_url")).alias("domain"))
+    """Of every homepage, and of given cases."""
+    m = table(spark, sf, "municipalities").select(F.col("ags").alias("item"), F.col("homepage_url").alias("d"))
+    given = cases(spark, DOMAINS, "d string, domain string").select(F.coalesce("d", F.lit("-")).alias("item"), "d")
+    return m.unionByName(given).select("item", urls.norm_domain(F.col("d")).alias("domain"))
 
 
 @query("set_allowed_norm", """SELECT ags, array_to_string(CASE WHEN len(l) > 0 THEN l WHEN h <> '' THEN [h] ELSE [] END, '|') AS domains FROM (
@@ -165,15 +175,47 @@ def set_domains_norm(spark, sf):
     return m.select("ags", F.array_join(F.array_sort(F.array_distinct(F.concat("l", twins))), "|").alias("domains"))
 
 
-@query("fn_url_canonical", f"WITH {DOCS_SQL} SELECT document_id, lower(regexp_extract(url_canonical, '^([a-z]+://[^/]+)', 1)) AS origin FROM docs")
-def fn_url_canonical(spark, sf):
-    """Origin of each canonical URL; the whole form is tested case by case."""
-    return docs(spark, sf, "url_canonical").select("document_id", F.regexp_extract(urls.canonical(F.col("url_canonical")), "^([a-z]+://[^/]+)", 1).alias("origin"))
+#: What canonicalisation has to give.
+CANONICAL = [
+    ("HTTP://Www.Stadt.Example:80/a//b/./c/../d/?b=2&a=1#top", "http://www.stadt.example/a/b/d?a=1&b=2"), ("https://stadt.example:443", "https://stadt.example/"),
+    ("https://stadt.example:8443/x/", "https://stadt.example:8443/x"), ("http://stadt.example:443/", "http://stadt.example:443/"), ("https://stadt.example/?utm_source=x&PK_kwd=y&fbclid=z&q=1", "https://stadt.example/?q=1"),
+    ("https://stadt.example/s?B=2&a=9&a=1&c", "https://stadt.example/s?a=1&a=9&B=2&c="), ("https://stadt.example/s?q=w%c3%a4rme+netz&r=a%2Fb", "https://stadt.example/s?q=w%C3%A4rme+netz&r=a%2Fb"),
+    ("https://stadt.example/a/../../b", "https://stadt.example/b"), ("  https://stadt.example/Pfad  ", "https://stadt.example/Pfad"), ("https://stadt.example?x=~*", "https://stadt.example/?x=~%2A"),
+    ("https://nutzer@stadt.example/x", "https://nutzer@stadt.example/x"), ("ftp://stadt.example/x", ""), ("mailto:a@stadt.example", ""), ("//stadt.example/x", ""), ("stadt.example", ""), ("https:///x", ""), ("", ""),
+    ("https://stadt.example/x?PHPSESSID=1", "https://stadt.example/x"), ("https://stadt.example/x?a=1&&b=", "https://stadt.example/x?a=1&b="), ("https://[::1]:443/x", "https://[::1]/x"),
+]
 
 
-@query("fn_urljoin", f"WITH {DOCS_SQL} SELECT document_id, regexp_extract(url_canonical, '^([^:]+://[^/?#]*)', 1) || '/klima' AS url FROM docs")
+@query("fn_url_canonical", f"""WITH {DOCS_SQL}, c AS (SELECT document_id, url_canonical AS u, regexp_extract(url_canonical, '^([a-z]+)://', 1) AS scheme FROM docs WHERE url_canonical IS NOT NULL)
+SELECT 'd' || document_id AS item, CASE WHEN regexp_matches(u, '^https?://[^/]+$') THEN u || '/' WHEN regexp_matches(u, '^https?://[^/]+/$') THEN u ELSE rtrim(u, '/') END || '?a=1&b=2' AS url FROM c
+UNION ALL SELECT item, url FROM {cases_sql(CANONICAL, "item, url")}""")
+def fn_url_canonical(spark, sf):
+    """Every URL, disguised by case, port, dots, tracking and a fragment, and given cases."""
+    u = F.col("url_canonical")
+    net = F.regexp_extract(u, r"^[^:]+://([^/?#]*)", 1)
+    port = F.when(F.startswith(u, F.lit("https")), ":443").otherwise(":80")
+    odd = F.concat(F.upper(urls.scheme(u)), F.lit("://"), F.upper(net), port, F.lit("/./"), F.regexp_extract(u, r"^[^:]+://[^/?#]*/?([^?#]*)", 1), F.lit("//x/../?b=2&utm_campaign=z&a=1&gclid=0#oben"))
+    d = docs(spark, sf, "url_canonical").filter("url_canonical is not null").select(F.concat(F.lit("d"), "document_id").alias("item"), odd.alias("u"))
+    given = cases(spark, CANONICAL, "u string, url string").select(F.col("u").alias("item"), "u")
+    return d.unionByName(given).select("item", urls.canonical(F.col("u")).alias("url"))
+
+
+BASE = "https://stadt.example/a/b/seite.html?x=1"
+#: References on the page ``BASE`` and what they mean.
+JOINED = [
+    ("/klima", "https://stadt.example/klima"), ("c.html", "https://stadt.example/a/b/c.html"), ("../c.html", "https://stadt.example/a/c.html"), ("../../../c", "https://stadt.example/c"),
+    ("./c/../d/", "https://stadt.example/a/b/d/"), ("?y=2", "https://stadt.example/a/b/seite.html?y=2"), ("#oben", "https://stadt.example/a/b/seite.html?x=1#oben"), ("//cdn.example/z", "https://cdn.example/z"),
+    ("http://andere.example/p?q#f", "http://andere.example/p?q#f"), ("mailto:a@b.example", "mailto:a@b.example"), ("", "https://stadt.example/a/b/seite.html?x=1"), ("/a/./b/../c?d#e", "https://stadt.example/a/c?d#e"), ("..", "https://stadt.example/a/"),
+]
+
+
+@query("fn_urljoin", f"WITH {DOCS_SQL} SELECT 'd' || document_id AS item, regexp_extract(url_canonical, '^([^:]+://[^/?#]*)', 1) || '/klima?x' AS url FROM docs UNION ALL SELECT href, url FROM {cases_sql(JOINED, 'href, url')}")
 def fn_urljoin(spark, sf):
-    return docs(spark, sf, "url_canonical").select("document_id", urls.join(F.col("url_canonical"), F.lit("/klima")).alias("url"))
+    """A way up to the root from every document, and given references."""
+    up = F.concat(F.repeat(F.lit("../"), urls.depth(F.col("url_canonical")) + 1), F.lit("./klima?x"))
+    d = docs(spark, sf, "url_canonical").select(F.concat(F.lit("d"), "document_id").alias("item"), F.col("url_canonical").alias("base"), up.alias("href"))
+    given = cases(spark, JOINED, "href string, url string").select(F.col("href").alias("item"), F.lit(BASE).alias("base"), "href")
+    return d.unionByName(given).select("item", urls.join(F.col("base"), F.col("href")).alias("url"))
 
 
 @query("fn_seed_paths", f"SELECT ags, rtrim(homepage_url, '/') || p AS url, CASE WHEN p = '' THEN 100 ELSE 80 END AS priority FROM municipalities, (SELECT unnest(['', {', '.join(repr(p) for p in lexicon.SEED_PATHS)}]) AS p) WHERE homepage_url IS NOT NULL AND homepage_url <> ''")

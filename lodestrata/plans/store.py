@@ -388,8 +388,8 @@ def win_heading(spark, sf):
 
 
 @query("win_heading_path", """WITH h AS (SELECT l_orderkey AS doc, l_linenumber AS ord, CAST(l_quantity AS INTEGER) % 6 + 1 AS level, 'P' || l_partkey AS text FROM lineitem),
-s AS (SELECT i.doc, i.ord, j.ord AS at, j.text FROM h i JOIN h j ON i.doc = j.doc AND j.ord <= i.ord AND NOT EXISTS (SELECT 1 FROM h k WHERE k.doc = i.doc AND k.ord > j.ord AND k.ord <= i.ord AND k.level <= j.level))
-SELECT doc, ord, array_to_string(list(text ORDER BY at), ' > ') AS path FROM s GROUP BY ALL""")
+s AS (SELECT i.doc, i.ord, j.ord AS place, j.text FROM h i JOIN h j ON i.doc = j.doc AND j.ord <= i.ord AND NOT EXISTS (SELECT 1 FROM h k WHERE k.doc = i.doc AND k.ord > j.ord AND k.ord <= i.ord AND k.level <= j.level))
+SELECT doc, ord, array_to_string(list(text ORDER BY place), ' > ') AS path FROM s GROUP BY ALL""")
 def win_heading_path(spark, sf):
     """Breadcrumb of every line; the lines of an order stand in for headings of six levels."""
     h = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("ord"), (F.col("l_quantity").cast("int") % 6 + 1).alias("level"), F.concat(F.lit("P"), "l_partkey").alias("text"))

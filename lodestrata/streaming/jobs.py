@@ -1,100 +1,121 @@
 """Leases of jobs over a stream of events, as keyed state and as batch twins.
 
-A job is pending until it is claimed; a claim holds while heartbeats come, and
-may be taken over when the last sign of life is older than ``STALE``. Finishing
-counts only for a claimed job; a finished job stays finished.
+A job is pending until a worker claims it; the claim holds while heartbeats of
+that worker come, and another may take the job over when the last sign of life
+is older than ``STALE``. Heartbeats and results count only from the worker that
+holds the job; a finished job stays finished.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from ..session import shared_dir
+from ..session import interim_path
 
 #: Seconds without a sign of life after which a claim may be taken over.
 STALE = 900
+#: Days for which the stream remembers a finished job, by event time; later events of it begin a new one.
+REMEMBERED = 90
 #: Kinds of events by the names they have in the log.
 KINDS = {"signup": "claim", "view": "heartbeat", "click": "heartbeat", "purchase": "done", "error": "failed"}
 
-STATE = "status string, attempts int, claimed_at double, seen_at double, ended_at double"
+STATE = "status string, owner string, attempts int, claimed_at double, seen_at double, ended_at double, beats int"
+START = ("pending", "", 0, 0.0, 0.0, 0.0, 0)
+FINISHED = ("done", "failed")
 
 
-def step(state: tuple, kind: str, t: float) -> tuple:
+def step(state: tuple, kind: str, worker: str, t: float) -> tuple:
     """State of a job after an event."""
-    status, attempts, claimed, seen, ended = state
-    if status in ("done", "failed"):
-        return state
+    status, owner, attempts, claimed, seen, ended, beats = state
     if kind == "claim":
-        if status == "pending" or t - seen > STALE:
-            return "claimed", attempts + 1, t, t, ended
-    elif status == "claimed":
+        if status == "pending" or (status == "claimed" and t - seen > STALE):
+            return "claimed", worker, attempts + 1, t, t, ended, beats
+    elif status == "claimed" and owner == worker:
         if kind == "heartbeat":
-            return status, attempts, claimed, t, ended
-        return kind, attempts, claimed, seen, t
+            return status, owner, attempts, claimed, t, ended, beats + 1
+        return kind, owner, attempts, claimed, t, t, beats
     return state
 
 
-START = ("pending", 0, 0.0, 0.0, 0.0)
-
-
 def job_events(df: DataFrame) -> DataFrame:
-    """(job, ts, kind, id) of an event log."""
+    """(job, ts, kind, worker, id) of an event log; the worker is part of the event's properties."""
     kind = F.lit(None).cast("string")
     for name, k in KINDS.items():
         kind = F.when(F.col("event_type") == name, k).otherwise(kind)
-    return df.select(F.col("user_id").alias("job"), "ts", kind.alias("kind"), F.col("event_id").alias("id")).filter("kind is not null")
+    worker = F.concat(F.lit("w"), F.expr("cast(get_json_object(props, '$.k') as int) div 50"))
+    return df.select(F.col("user_id").alias("job"), "ts", kind.alias("kind"), worker.alias("worker"), F.col("event_id").alias("id")).filter("kind is not null and worker is not null")
 
 
-def final_states(events: DataFrame) -> DataFrame:
-    """Batch: last state of each job, its events replayed in order.
+def final_states(events: DataFrame, until: Column | None = None) -> DataFrame:
+    """Batch: last state of each job, its events up to a time replayed in order; (job, STATE).
 
     Only a job's own events come together, sorted by time; they are folded in
     the engine, without a Python worker.
     """
-    ordered = events.groupBy("job").agg(F.sort_array(F.collect_list(F.struct("ts", "id", "kind"))).alias("e"))
-    zero = F.struct(F.lit("pending").alias("status"), F.lit(0).alias("attempts"), F.lit(0.0).alias("seen"))
+    own = F.collect_list(F.struct("ts", "id", "kind", "worker"))
+    if until is not None:
+        own = F.collect_list(F.when(F.col("ts") <= until, F.struct("ts", "id", "kind", "worker")))
+    ordered = events.groupBy("job").agg(F.sort_array(own).alias("e"))
+    names = [x.split() for x in STATE.split(", ")]
+    zero = F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(START, names)])
 
     def fold(acc, e):
         t = e["ts"].cast("timestamp").cast("double")
-        free = (acc["status"] == "pending") | ((acc["status"] == "claimed") & (t - acc["seen"] > STALE))
-        claim = (e["kind"] == "claim") & free
-        held = acc["status"] == "claimed"
-        return (
-            F.when(claim, F.struct(F.lit("claimed").alias("status"), (acc["attempts"] + 1).alias("attempts"), t.alias("seen")))
-            .when(held & (e["kind"] == "heartbeat"), F.struct(acc["status"].alias("status"), acc["attempts"].alias("attempts"), t.alias("seen")))
-            .when(held & e["kind"].isin("done", "failed"), F.struct(e["kind"].alias("status"), acc["attempts"].alias("attempts"), acc["seen"].alias("seen")))
-            .otherwise(acc)
+        claim = (e["kind"] == "claim") & ((acc["status"] == "pending") | ((acc["status"] == "claimed") & (t - acc["seen_at"] > STALE)))
+        held = (acc["status"] == "claimed") & (acc["owner"] == e["worker"]) & (e["kind"] != "claim")
+        beat = held & (e["kind"] == "heartbeat")
+        end = held & (e["kind"] != "heartbeat")
+        return F.struct(
+            F.when(claim, F.lit("claimed")).when(end, e["kind"]).otherwise(acc["status"]).alias("status"),
+            F.when(claim, e["worker"]).otherwise(acc["owner"]).alias("owner"),
+            (acc["attempts"] + F.when(claim, 1).otherwise(0)).alias("attempts"),
+            F.when(claim, t).otherwise(acc["claimed_at"]).alias("claimed_at"),
+            F.when(claim | held, t).otherwise(acc["seen_at"]).alias("seen_at"),
+            F.when(end, t).otherwise(acc["ended_at"]).alias("ended_at"),
+            (acc["beats"] + F.when(beat, 1).otherwise(0)).alias("beats"),
         )
 
-    return ordered.select("job", F.aggregate("e", zero, fold).alias("s")).select("job", "s.status", "s.attempts")
+    return ordered.select("job", F.aggregate("e", zero, fold).alias("s")).select("job", "s.*")
 
 
 def _fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    if state.hasTimedOut:
+        state.remove()
+        return
     now = state.get if state.exists else START
-    for pdf in batches:
-        for row in pdf.sort_values(["ts", "id"]).itertuples():
-            now = step(now, row.kind, row.ts.timestamp())
+    # a key's rows may come in several chunks; only together can they be put in order
+    rows = pd.concat(list(batches), ignore_index=True).sort_values(["ts", "id"])
+    for kind, worker, t in zip(rows["kind"], rows["worker"], rows["ts"]):
+        now = step(now, kind, worker, t.timestamp())
     state.update(now)
-    yield pd.DataFrame({"job": [key[0]], "status": [now[0]], "attempts": [now[1]]})
+    if now[0] in FINISHED:
+        state.setTimeoutTimestamp(max(int((now[5] + REMEMBERED * 86_400) * 1000), state.getCurrentWatermarkMs() + 1))
+    yield pd.DataFrame([[key[0], *now]], columns=["job", *(x.split()[0] for x in STATE.split(", "))])
 
 
-def run_available(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
-    """Runs a stream over all that is there and gives back what it wrote to the shared folder."""
+def run_available(stream: DataFrame, label: str, mode: str = "append", key: str | None = None) -> DataFrame:
+    """Runs a stream over all that is there and gives back what it wrote to the shared folder; in update mode the last row of each key."""
     spark = stream.sparkSession
-    base = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    base = interim_path(spark, label)
     if mode == "append":
         q = stream.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/check").trigger(availableNow=True).start()
-    else:  # every batch overwrites what the same batch wrote before, so a repeated batch changes nothing
-        write = lambda df, n: df.withColumn("batch", F.lit(n)).write.mode("overwrite").parquet(f"{base}/out/b={n}")
-        q = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{base}/check").trigger(availableNow=True).start()
+        q.awaitTermination()
+        return spark.read.schema(stream.schema).parquet(f"{base}/out")
+
+    def write(df: DataFrame, n: int) -> None:  # every batch overwrites what the same batch wrote before, so a repeated batch changes nothing
+        df.write.mode("overwrite").parquet(f"{base}/out/batch={n}")
+
+    q = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{base}/check").trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{base}/out" if mode == "append" else f"{base}/out/*")
+    rest = [c for c in stream.columns if c != key]
+    written = spark.read.schema(StructType([*stream.schema.fields, StructField("batch", IntegerType())])).parquet(f"{base}/out")
+    return written.groupBy(key).agg(F.max_by(F.struct(*rest), "batch").alias("last")).select(key, "last.*")
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,6 +124,7 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet").parquet(sf_dir)
 
 
-def lease_stream(stream: DataFrame) -> DataFrame:
-    """(job, status, attempts) of each job whose state changed, from keyed state."""
-    return job_events(stream).groupBy("job").applyInPandasWithState(_fold, "job long, status string, attempts int", STATE, "update", GroupStateTimeout.NoTimeout)
+def lease_stream(stream: DataFrame, late: str = "1 day") -> DataFrame:
+    """(job, STATE) of each job whose state changed, from keyed state."""
+    events = job_events(stream).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
+    return events.groupBy("job").applyInPandasWithState(_fold, f"job long, {STATE}", STATE, "update", GroupStateTimeout.EventTimeTimeout)
