@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import stage_table
+from ..session import drop_table, stage_table
 
 
 def undirected(edges: DataFrame) -> DataFrame:
@@ -14,48 +14,69 @@ def undirected(edges: DataFrame) -> DataFrame:
     return both.groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def communities(edges: DataFrame, rounds: int = 8, levels: int = 2, resolution: float = 1.0) -> DataFrame:
-    """(node, community) by modularity moves over joins.
+def communities(edges: DataFrame, resolution: float = 1.0, tolerance: float = 1e-4) -> DataFrame:
+    """(node, community) by modularity moves over joins, to convergence.
 
     In each round half of the nodes, drawn by hash, move to the neighbouring
     community of greatest gain if it is greater than that of staying; the halves
-    take turns, so neighbours don't swap. Then communities become nodes and the
-    moves are repeated. Each round's labels are a written table.
+    take turns, so neighbours don't swap. Rounds end when neither half moves or
+    the modularity no longer rises by more than ``tolerance``. Then communities become nodes and the moves
+    are repeated, until no two communities join. Each round's labels are a
+    written table that replaces the one before.
     """
     e = stage_table(undirected(edges), "edges")
-    map_to = e.select(F.col("src").alias("node"), F.col("src").alias("community")).distinct()
-    for level in range(levels):
-        labels = _move(e, rounds, resolution)
-        if level == 0:
-            map_to = labels
+    map_to = None
+    while True:
+        labels = _move(e, resolution, tolerance)
+        if map_to is None:
+            map_to = stage_table(labels, "communities")
         else:
-            map_to = map_to.join(labels.select(F.col("node").alias("community"), F.col("community").alias("up")), "community", "left").select("node", F.coalesce("up", "community").alias("community"))
-        map_to = stage_table(map_to, "communities")
+            joined = map_to.join(labels.select(F.col("node").alias("community"), F.col("community").alias("up")), "community", "left")
+            map_to = stage_table(joined.select("node", F.coalesce("up", "community").alias("community")), "communities", replaces=map_to)
         a, b = labels.select(F.col("node").alias("src"), F.col("community").alias("s")), labels.select(F.col("node").alias("dst"), F.col("community").alias("d"))
-        e = stage_table(e.join(a, "src").join(b, "dst").groupBy(F.col("s").alias("src"), F.col("d").alias("dst")).agg(F.sum("weight").alias("weight")), "edges")
-    return map_to
+        n, fewer = labels.count(), labels.select("community").distinct().count()
+        if n == fewer:
+            return map_to
+        e = stage_table(e.join(a, "src").join(b, "dst").groupBy(F.col("s").alias("src"), F.col("d").alias("dst")).agg(F.sum("weight").alias("weight")), "edges", replaces=e)
 
 
-def _move(e: DataFrame, rounds: int, resolution: float) -> DataFrame:
+def _move(e: DataFrame, resolution: float, tolerance: float) -> DataFrame:
     degree = stage_table(e.groupBy(F.col("src").alias("node")).agg(F.sum("weight").alias("k")), "degree")
     total = degree.agg(F.sum("k")).first()[0] or 1
-    labels = degree.select("node", F.col("node").alias("community"), "k")
-    for r in range(rounds):
+    labels = stage_table(degree.select("node", F.col("node").alias("community"), "k", F.lit(False).alias("moved")), "labels")
+    quality = _quality(e, labels, total, resolution)
+    turn, idle = 0, 0
+    while idle < 2:
         links = e.filter("src <> dst").join(labels.select(F.col("node").alias("dst"), F.col("community").alias("c")), "dst").groupBy(F.col("src").alias("node"), "c").agg(F.sum("weight").alias("w"))
         size = labels.groupBy(F.col("community").alias("c")).agg(F.sum("k").alias("sum_k"))
         gain = F.col("w") - resolution * F.col("k") * (F.col("sum_k") - F.when(F.col("c") == F.col("community"), F.col("k")).otherwise(0)) / total
-        best = links.join(size, "c").join(labels, "node").select("node", "c", gain.alias("gain"), (F.col("c") == F.col("community")).alias("own"))
+        best = links.join(size, "c").join(labels.drop("moved"), "node").select("node", "c", gain.alias("gain"), (F.col("c") == F.col("community")).alias("own"))
         best = best.groupBy("node").agg(F.max_by("c", F.struct("gain", "own", "c")).alias("best"), F.max("gain").alias("gain"), F.max(F.when(F.col("own"), F.col("gain"))).alias("stay"))
-        turn = F.pmod(F.xxhash64("node"), F.lit(2)) == r % 2
-        moves = best.filter(turn & (F.col("gain") > F.coalesce("stay", F.lit(0.0)) + 1e-9)).select("node", "best")
+        moves = best.filter((F.pmod(F.xxhash64("node"), F.lit(2)) == turn) & (F.col("gain") > F.coalesce("stay", F.lit(0.0)) + 1e-9)).select("node", "best")
         after = stage_table(labels.join(moves, "node", "left").select("node", F.coalesce("best", "community").alias("community"), "k", F.col("best").isNotNull().alias("moved")), "labels")
-        moved = after.filter("moved").limit(1).count()
-        labels = after.drop("moved")
-        if not moved and r:
-            break
+        turn = 1 - turn
+        if after.filter("moved").isEmpty():
+            idle += 1
+            drop_table(after)
+            continue
+        risen = _quality(e, after, total, resolution)
+        if risen <= quality + tolerance:  # moves of one turn that spoil each other are taken back
+            idle += 1
+            drop_table(after)
+            continue
+        drop_table(labels)
+        labels, quality, idle = after, risen, 0
     return labels.select("node", "community")
 
 
+def _quality(e: DataFrame, labels: DataFrame, total: float, resolution: float) -> float:
+    """Modularity of a labelling of the nodes of undirected edges."""
+    a, b = labels.select(F.col("node").alias("src"), F.col("community").alias("s")), labels.select(F.col("node").alias("dst"), F.col("community").alias("d"))
+    inside = e.join(a, "src").join(b, "dst").filter("s = d").agg(F.sum("weight")).first()[0] or 0
+    k = labels.groupBy("community").agg(F.sum("k").alias("k")).agg(F.sum(F.col("k").cast("double") * F.col("k"))).first()[0] or 0.0
+    return float(inside) / float(total) - resolution * float(k) / float(total) ** 2
+
+
 def modularity(edges: DataFrame, membership: DataFrame) -> DataFrame:
     """(modularity,) of a partition."""
     e = undirected(edges)
@@ -100,6 +121,32 @@ def within_hops(edges: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:
     return seen
 
 
+def best_first(edges: DataFrame, seeds: DataFrame, max_depth: int, budget: int, batch: int = 1) -> DataFrame:
+    """(site, node, depth, place): nodes of each site in the order of a best-first traversal over edges (site, src, dst, priority) from seeds (site, node, priority).
+
+    Every round takes the best ``batch`` of each site's frontier, by priority,
+    then depth, then the place of the node that led there, then the node, until
+    ``budget`` nodes are taken or no frontier is left; 1 is the strict order,
+    more the order of as many workers. Nodes beyond ``max_depth`` aren't followed.
+    """
+    order = [F.desc("priority"), "depth", "came", "node"]
+    first = lambda df: df.withColumn("n", F.row_number().over(Window.partitionBy("site", "node").orderBy(*order))).filter("n = 1").drop("n")
+    front = stage_table(first(seeds.select("site", "node", "priority", F.lit(0).alias("depth"), F.lit(0).cast("long").alias("came"))), "frontier")
+    taken = stage_table(front.select("site", "node", "depth", F.lit(0).cast("long").alias("place")).limit(0), "taken")
+    done = 0
+    while done < budget and not front.isEmpty():
+        size = min(batch, budget - done)
+        ranked = front.withColumn("r", F.row_number().over(Window.partitionBy("site").orderBy(*order)))
+        now = stage_table(ranked.filter(F.col("r") <= size).select("site", "node", "depth", (F.col("r") + done).cast("long").alias("place")), "step")
+        taken = stage_table(taken.unionByName(now), "taken", replaces=taken)
+        led = now.filter(F.col("depth") < max_depth).select("site", F.col("node").alias("src"), (F.col("depth") + 1).alias("depth"), F.col("place").alias("came"))
+        found = edges.join(led, ["site", "src"]).select("site", F.col("dst").alias("node"), "priority", "depth", "came")
+        rest = ranked.filter(F.col("r") > size).drop("r").unionByName(found).join(taken.select("site", "node"), ["site", "node"], "left_anti")
+        front = stage_table(first(rest), "frontier", replaces=front)
+        done += size
+    return taken
+
+
 def neighbourhood(edges: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
     """Edges that touch each node (node), in either direction, at most ``most`` of each by weight."""
     out = edges.join(nodes.select(F.col("node").alias("src")), "src").select(F.col("src").alias("node"), F.col("dst").alias("other"), "weight")

@@ -30,6 +30,11 @@ def upsert(target: DataFrame, rows: DataFrame, keys: list[str], order: list[str]
     return target.join(latest.select(*keys), keys, "left_anti").select(*target.columns).unionByName(latest.select(*target.columns))
 
 
+def add_up(target: DataFrame, rows: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """``target`` with the counts of rows added to those of their keys."""
+    return target.select(*keys, count).unionByName(rows.select(*keys, count)).groupBy(*keys).agg(F.sum(count).alias(count))
+
+
 def fill_from(target: DataFrame, column: str, on: str, source: DataFrame, key: str, value: str) -> DataFrame:
     """``target`` with nulls of ``column`` filled by the least value that ``source`` has under the key."""
     least = source.groupBy(F.col(key).alias(on)).agg(F.min(value).alias("_v"))

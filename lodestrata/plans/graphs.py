@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import graph
-from ..session import table
+from ..session import stage_table, table
 from .catalog import query
 from .store import CHUNK_SQL, DOCS_SQL, SEG_SQL, chunks, docs, segments
 
@@ -116,10 +116,11 @@ def join_community_segments(spark, sf):
     return best.withColumn("rank", F.row_number().over(Window.partitionBy("community").orderBy(F.desc("price"), "l_orderkey"))).filter("rank <= 5").select("community", "l_orderkey", "rank")
 
 
-@query("join_entity_neighborhood", f"""WITH {EDGE_SQL}, b AS (SELECT src AS node, dst AS other, weight FROM e WHERE src <= 5 UNION ALL SELECT dst, src, weight FROM e WHERE dst <= 5)
+@query("join_entity_neighborhood", f"""WITH {EDGE_SQL}, b AS (SELECT src AS node, dst AS other, weight FROM e UNION ALL SELECT dst, src, weight FROM e WHERE dst IN (SELECT s_suppkey FROM supplier))
 SELECT node, other, weight, rank FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY weight DESC, other) AS rank FROM b) WHERE rank <= 40""")
 def join_entity_neighborhood(spark, sf):
-    nodes = table(spark, sf, "supplier").filter("s_suppkey <= 5").select(F.col("s_suppkey").alias("node"))
+    """The forty strongest neighbours of every supplier's key."""
+    nodes = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("node"))
     return graph.neighbourhood(supply(spark, sf), nodes, 40).select("node", "other", "weight", "rank")
 
 
@@ -141,23 +142,61 @@ def gr_frontier_bfs(spark, sf):
     return graph.within_hops(both, spark.createDataFrame([("s1",)], "node string"), 2)
 
 
+@query("gr_frontier_best_first")
+def gr_frontier_best_first(spark, sf):
+    """Forty nodes of each region in the order of a best-first traversal of its suppliers' parts, eight workers at a time."""
+    e = supply(spark, sf).join(table(spark, sf, "supplier").select(F.col("s_suppkey").alias("src"), F.col("s_nationkey").alias("site")), "src")
+    a, b = F.concat(F.lit("s"), "src"), F.concat(F.lit("p"), "dst")
+    both = e.select("site", a.alias("src"), b.alias("dst"), F.col("weight").alias("priority")).unionByName(e.select("site", b.alias("src"), a.alias("dst"), F.col("weight").alias("priority")))
+    seeds = e.groupBy("site").agg(F.min("src").alias("first")).select("site", F.concat(F.lit("s"), "first").alias("node"), F.lit(1).cast("long").alias("priority"))
+    return graph.best_first(both, seeds, max_depth=6, budget=40, batch=8)
+
+
 @query("gr_community")
 def gr_community(spark, sf):
     """Communities of suppliers that deliver to the same orders."""
     return graph.communities(together(spark, sf))
 
 
-@query("gr_belongs")
+@query("gr_belongs", f"WITH {COPART_SQL} SELECT count(DISTINCT node) AS nodes, true AS each_once, true AS better_than_apart FROM (SELECT src AS node FROM c UNION ALL SELECT dst FROM c)")
 def gr_belongs(spark, sf):
-    """Size and modularity of the communities found."""
-    e = together(spark, sf)
-    m = graph.communities(e)
-    return m.groupBy("community").agg(F.count("*").alias("n")).crossJoin(graph.modularity(e, m))
-
-
-@query("gr_community_context", f"""WITH {MEMBER_SQL} SELECT community, array_to_string(list(node ORDER BY node), ',') AS entities FROM (SELECT *, row_number() OVER (PARTITION BY community ORDER BY node) AS r FROM m) WHERE r <= 20 GROUP BY 1""")
+    """What holds of any communities: every node is in one, and they are at least as modular as nodes apart."""
+    e = stage_table(together(spark, sf), "together")
+    m = stage_table(graph.communities(e), "members")
+    apart = m.select("node", F.col("node").alias("community"))
+    found, least = graph.modularity(e, m), graph.modularity(e, apart).withColumnRenamed("modularity", "least")
+    return m.agg(F.countDistinct("node").alias("nodes"), (F.count("*") == F.countDistinct("node")).alias("each_once")).crossJoin(found).crossJoin(least).select("nodes", "each_once", (F.col("modularity") >= F.col("least")).alias("better_than_apart"))
+
+
+@query("udf_llm_report_found")
+def udf_llm_report_found(spark, sf):
+    """Reports of the communities found, of three members or more."""
+    from ..models import offline
+
+    m = stage_table(graph.communities(together(spark, sf)), "members")
+    big = m.groupBy("community").agg(F.count("*").alias("size")).filter("size >= 3")
+    return offline.reports(m.join(big, "community").select("node", "community"))
+
+
+@query("gr_community_context", f"""WITH {MEMBER_SQL}, {COPART_SQL}, n AS (SELECT community, s_name AS name FROM m JOIN supplier ON s_suppkey = node), a AS (SELECT community, array_to_string(list(name ORDER BY name), ', ') AS entities FROM (SELECT *, row_number() OVER (PARTITION BY community ORDER BY name) AS r FROM n) WHERE r <= 20 GROUP BY 1),
+i AS (SELECT m1.community, src, dst, weight, row_number() OVER (PARTITION BY m1.community ORDER BY weight DESC, src, dst) AS r FROM c JOIN m m1 ON c.src = m1.node JOIN m m2 ON c.dst = m2.node AND m1.community = m2.community),
+b AS (SELECT community, array_to_string(list(src || ' -- ' || dst ORDER BY r), '; ') AS relations FROM i WHERE r <= 30 GROUP BY 1),
+s AS (SELECT community, l_orderkey, row_number() OVER (PARTITION BY community ORDER BY price DESC, l_orderkey) AS r FROM (SELECT community, l_orderkey, max(l_extendedprice) AS price FROM lineitem JOIN m ON l_suppkey = node GROUP BY ALL)),
+d AS (SELECT community, array_to_string(list(substring('Auftrag ' || l_orderkey, 1, 400) ORDER BY r), chr(10)) AS snippets FROM s WHERE r <= 5 GROUP BY 1)
+SELECT a.community, entities, coalesce(relations, '') AS relations, coalesce(snippets, '') AS snippets FROM a LEFT JOIN b USING (community) LEFT JOIN d USING (community)""")
 def gr_community_context(spark, sf):
+    """What a report of a community is written from: twenty names, thirty relations inside, five passages."""
     from pyspark.sql import Window
 
-    top = members(spark, sf).withColumn("r", F.row_number().over(Window.partitionBy("community").orderBy("node"))).filter("r <= 20")
-    return top.groupBy("community").agg(F.array_join(F.transform(F.sort_array(F.collect_list("node")), lambda x: x.cast("string")), ",").alias("entities"))
+    m = stage_table(members(spark, sf), "members")
+    ordered = lambda c, by: F.transform(F.sort_array(F.collect_list(F.struct(by, c))), lambda x: x[c])
+    best = lambda df, n, *by: df.withColumn("r", F.row_number().over(Window.partitionBy("community").orderBy(*by))).filter(F.col("r") <= n).groupBy("community")
+    names = m.join(table(spark, sf, "supplier").select(F.col("s_suppkey").alias("node"), F.col("s_name").alias("name")), "node")
+    entities = best(names, 20, "name").agg(F.array_join(ordered("name", "r"), ", ").alias("entities"))
+    a, b = m.select(F.col("node").alias("src"), "community"), m.select(F.col("node").alias("dst"), F.col("community").alias("other"))
+    inside = together(spark, sf).join(a, "src").join(b, "dst").filter("community = other").withColumn("pair", F.concat_ws(" -- ", "src", "dst"))
+    relations = best(inside, 30, F.desc("weight"), "src", "dst").agg(F.array_join(ordered("pair", "r"), "; ").alias("relations"))
+    passages = join_community_segments(spark, sf).withColumn("text", F.substring(F.concat(F.lit("Auftrag "), "l_orderkey"), 1, 400))
+    snippets = passages.groupBy("community").agg(F.array_join(ordered("text", "rank"), "\n").alias("snippets"))
+    found = entities.join(relations, "community", "left").join(snippets, "community", "left")
+    return found.select("community", "entities", F.coalesce("relations", F.lit("")).alias("relations"), F.coalesce("snippets", F.lit("")).alias("snippets"))

@@ -11,9 +11,10 @@ from .catalog import query
 from .store import CHUNK_SQL, DOCS_SQL, SEG_SQL, chunks, docs, segments
 
 
-@query("snk_raw_cas", "SELECT DISTINCT sha256(text) AS raw_hash, length(text) AS n FROM documents WHERE text IS NOT NULL")
+@query("snk_raw_cas", "SELECT DISTINCT sha256(text) AS raw_hash, octet_length(encode(text)) AS n_bytes FROM documents WHERE text <> ''")
 def snk_raw_cas(spark, sf):
-    return writers.raw_blobs(table(spark, sf, "documents"), "text").select("raw_hash", F.char_length("body").alias("n"))
+    """Texts as files named by their hashes, found again in the folder."""
+    return writers.raw_files(table(spark, sf, "documents"), "text")
 
 
 @query("snk_insert_ignore", f"""WITH {SEG_SQL} SELECT document_id, segment_hash, min_by(segment_id, (order_index, segment_id)) AS segment_id FROM seg GROUP BY ALL""")
@@ -33,10 +34,13 @@ def snk_upsert(spark, sf):
     return merge.upsert(one, late.unionByName(one), ["url_canonical"], ["last_fetch_at"])
 
 
-@query("snk_replace", "SELECT DISTINCT entity_id, coalesce(canonical_name, original_name) AS canonical_name FROM entity_canonical")
+@query("snk_replace", "SELECT DISTINCT entity_id, coalesce(canonical_name, original_name) AS canonical_name, CASE WHEN canonical_name IS NULL THEN 2 ELSE 1 END AS run FROM entity_canonical")
 def snk_replace(spark, sf):
+    """Canonical names of a second run written over those of the first, which left some out."""
     e = table(spark, sf, "entity_canonical")
-    return writers.parquet(e.select("entity_id", F.coalesce("canonical_name", "original_name").alias("canonical_name")).distinct())
+    first = e.select("entity_id", "canonical_name", F.lit(1).alias("run")).distinct()
+    second = e.filter("canonical_name is null").select("entity_id", F.col("original_name").alias("canonical_name"), F.lit(2).alias("run"))
+    return writers.parquet(merge.upsert(first, second, ["entity_id"], ["run"]))
 
 
 @query("snk_update_from", f"""WITH {DOCS_SQL}, t AS (SELECT url_canonical, min(document_id) AS target FROM docs GROUP BY 1) SELECT d.document_id, t.target FROM docs d LEFT JOIN t ON d.url_final = t.url_canonical""")
@@ -68,14 +72,37 @@ def snk_sqlite_table(spark, sf):
     return writers.parquet(m.select("ags", F.array_join(d, "|").alias("domains")))
 
 
-@query("snk_graph", f"WITH {DOCS_SQL} SELECT DISTINCT 'm' || municipality_id AS src, 'd' || document_id AS dst FROM docs")
+@query("snk_graph", f"""WITH {DOCS_SQL}, {SEG_SQL}, m AS (SELECT DISTINCT ags, name FROM municipalities),
+n AS (SELECT 'm' || ags AS id, 'Municipality' AS label, name FROM m UNION SELECT 'd' || document_id, 'Document', NULL FROM docs UNION SELECT 'm' || municipality_id, 'Municipality', NULL FROM docs WHERE municipality_id NOT IN (SELECT ags FROM m)),
+e AS (SELECT 'm' || municipality_id AS src, 'd' || document_id AS dst, count(*) AS n FROM documents_raw WHERE municipality_id IS NOT NULL GROUP BY ALL)
+SELECT id, label, name, NULL AS dst, CAST(NULL AS BIGINT) AS n FROM n UNION ALL SELECT src, 'HAS_DOCUMENT', NULL, dst, n FROM e""")
 def snk_graph(spark, sf):
-    return writers.parquet(docs(spark, sf, "municipality_id").select(F.concat(F.lit("m"), "municipality_id").alias("src"), F.concat(F.lit("d"), "document_id").alias("dst")).distinct())
-
-
-@query("snk_vectors", "SELECT vec_id, len(embedding) AS dim FROM embeddings")
+    """Nodes and edges merged from two loads: a node keeps what it had, an edge counts how often it came."""
+    r = table(spark, sf, "documents_raw").filter("municipality_id is not null")
+    m = table(spark, sf, "municipalities").select(F.concat(F.lit("m"), "ags").alias("id"), F.lit("Municipality").alias("label"), "name").distinct()
+    met = r.select(F.concat(F.lit("m"), "municipality_id").alias("id"), F.lit("Municipality").alias("label"), F.lit(None).cast("string").alias("name"))
+    own = table(spark, sf, "documents_raw").select(F.concat(F.lit("d"), "document_id").alias("id"), F.lit("Document").alias("label"), F.lit(None).cast("string").alias("name"))
+    nodes = merge.insert_ignore(m, met.unionByName(own).distinct(), ["id"], ["label"])
+    edge = lambda df: df.select(F.concat(F.lit("m"), "municipality_id").alias("src"), F.concat(F.lit("d"), "document_id").alias("dst"), F.lit(1).cast("long").alias("n"))
+    early, late = r.filter("second(fetched_at) < 30"), r.filter("second(fetched_at) >= 30")
+    edges = merge.add_up(merge.add_up(edge(early.limit(0)), edge(early), ["src", "dst"], "n"), edge(late), ["src", "dst"], "n")
+    none = lambda c, kind: F.lit(None).cast(kind).alias(c)
+    return writers.parquet(nodes.select("id", "label", "name", none("dst", "string"), none("n", "long"))).unionByName(
+        writers.parquet(edges.select(F.col("src").alias("id"), F.lit("HAS_DOCUMENT").alias("label"), none("name", "string"), "dst", "n"))
+    )
+
+
+@query("snk_vectors", f"""SELECT vec_id, CAST({' + '.join(f'CASE WHEN embedding[{i + 1}] > 0 THEN {1 << i} ELSE 0 END' for i in range(6))} AS INTEGER) AS bucket, len(embedding) AS dim,
+ round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 4) AS total FROM embeddings""")
 def snk_vectors(spark, sf):
-    return writers.parquet(table(spark, sf, "embeddings").select("vec_id", "embedding")).select("vec_id", F.size("embedding").alias("dim"))
+    """Vectors stored by the signs of their first numbers, as an index by which a search reads few folders."""
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    signs = [F.when(F.get("embedding", F.lit(i)) > 0, 1 << i).otherwise(0) for i in range(6)]
+    bucket = signs[0]
+    for x in signs[1:]:
+        bucket = bucket + x
+    stored = writers.parquet(e.withColumn("bucket", bucket.cast("int")), ["bucket"])
+    return stored.select("vec_id", "bucket", F.size("embedding").alias("dim"), F.round(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("total"))
 
 
 @query("snk_json_report", f"WITH {SEG_SQL} SELECT segment_type, count(*) AS n FROM seg GROUP BY 1")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +23,34 @@ def raw_blobs(df: DataFrame, body: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def raw_files(df: DataFrame, body: str) -> DataFrame:
+    """(raw_hash, n_bytes): each distinct body as a file named by its hash, written under another name and then renamed.
+
+    A file that is there is left alone, so a task that runs again changes
+    nothing. Nulls and empty bodies have no file.
+    """
+    path = _path(df, "raw")
+    blobs = df.filter(F.octet_length(body) > 0).select(F.sha2(F.col(body).cast("binary"), 256).alias("raw_hash"), F.col(body).cast("binary").alias("body")).dropDuplicates(["raw_hash"])
+
+    def run(batches):
+        fs, base = pafs.FileSystem.from_uri(path)
+        for batch in batches:
+            for h, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                folder = f"{base}/{h[:2]}"
+                if fs.get_file_info(f"{folder}/{h}").type == pafs.FileType.NotFound:
+                    fs.create_dir(folder, recursive=True)
+                    name = f"{folder}/.{h}.{uuid.uuid4().hex}"
+                    with fs.open_output_stream(name) as f:
+                        f.write(b)
+                    fs.move(name, f"{folder}/{h}")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    blobs.mapInArrow(run, "n long").agg(F.sum("n")).collect()
+    spark = df.sparkSession
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).schema("path string, modificationTime timestamp, length long, content binary").load(path)
+    return files.select(F.substring_index("path", "/", -1).alias("raw_hash"), F.col("length").alias("n_bytes"))
+
+
 def csv(df: DataFrame) -> DataFrame:
     """CSV with a header, quoted so that line breaks in values survive."""
     path = _path(df, "csv")

@@ -63,21 +63,29 @@ def test_lease_states_agree(spark):
         t = 1_700_000_000
         for i in range(40):
             t += r.choice([5, 60, 1000])
-            rows.append((job, t, r.choices(kinds, [5, 3, 3, 1, 1])[0], i))
-    df = spark.createDataFrame(rows, "job long, t long, kind string, id long").withColumn("ts", F.timestamp_seconds("t"))
+            rows.append((job, t, r.choices(kinds, [5, 3, 3, 1, 1])[0], i, r.choice("ab")))
+    df = spark.createDataFrame(rows, "job long, t long, kind string, id long, worker string").withColumn("ts", F.timestamp_seconds("t"))
     want = {}
     for job in range(12):
         s = jobs.START
-        for _, t, kind, _ in sorted((x for x in rows if x[0] == job), key=lambda x: (x[1], x[3])):
-            s = jobs.step(s, kind, float(t))
-        want[job] = (s[0], s[1])
-    assert {x.job: (x.status, x.attempts) for x in jobs.final_states(df).collect()} == want
+        for _, t, kind, _, worker in sorted((x for x in rows if x[0] == job), key=lambda x: (x[1], x[3])):
+            s = jobs.step(s, kind, worker, float(t))
+        want[job] = s
+    assert {x.job: tuple(x)[1:] for x in jobs.final_states(df).collect()} == want
+    assert {s[1] for s in want.values()} == {"a", "b"} and len({s[0] for s in want.values()}) > 1
 
 
 def test_html_page():
-    p = html.read("<html><head><title> T </title><meta name='author' content='A'><meta property='og:title' content='O'></head><body><nav><p>Menü " + "x" * 40 + "</p></nav><h1>Eins</h1><p>kurz<p>" + "Ein langer Absatz mit Text &amp; mehr. " * 2 + "<h2>Zwei</h2><ul><li>" + "Punkt mit genug Zeichen darin, ja." + "</li></ul><script>var a='</p>'</script><a href='/x'>Link <b>Text</b></a></body></html>")
-    assert p.title.strip() == "T" and p.meta == {"author": "A", "og_title": "O"} and p.links == [("/x", "Link Text")]
-    assert [(k, h) for k, _, h in p.segments] == [("heading", None), ("paragraph", "Eins"), ("heading", "Eins"), ("list_item", "Eins > Zwei")]
+    one, two = "Eine Überschrift mit mehr als dreißig Zeichen", "Noch eine, darunter, mit ebenso vielen Zeichen"
+    p = html.read(
+        f"<html><head><title> T </title><meta name='author' content='A'><meta property='og:title' content='O'></head><body><nav><p>Menü {'x' * 40}</p><a href='/menu'>m</a></nav><h1>{one}</h1><h2>kurz</h2><p>kurz<p>"
+        + "Ein langer Absatz mit Text &amp; mehr. " * 2 + f"<h2>{two}</h2><ul><li>Punkt mit genug Zeichen darin, ja.</li></ul><script>var a='</p>'</script>"
+        "<a href='/x'>Link <b>Text</b></a><a href='//b.example//y//z#s'>Y</a><a href='../x'>nochmal</a><a href='t.jpg?1'>b</a><a href='tel:1'>t</a><a href='#o'>o</a><a href='ftp://c.example'>f</a></body></html>",
+        "https://a.example/s/t.html",
+    )
+    assert p.title.strip() == "T" and p.meta == {"author": "A", "og_title": "O"}
+    assert p.links == [("https://a.example/x", "Link Text"), ("https://b.example/y/z", "Y")]
+    assert [(k, h) for k, _, h in p.segments] == [("heading", None), ("paragraph", one), ("heading", None), ("list_item", f"{one} > {two}")]
     assert html.read(None).segments == []
 
 
@@ -94,7 +102,7 @@ def test_retries():
         calls.append(url)
         return (503, None, None, 7.0) if len(calls) == 1 else (200, "t", b"x", None)
 
-    assert fetch.with_retries(flaky, "u", 3, waits.append) == (200, "t", b"x", None) and waits == [7.0]
+    assert fetch.with_retries(flaky, "u", 3, waits.append) == (200, "t", b"x", None, 2) and waits == [7.0]
     assert fetch.with_retries(lambda u: 1 / 0, "u", 2, waits.append)[3] == "division by zero" and waits[1:] == [0.5]
 
 
@@ -103,7 +111,7 @@ def test_config():
 
 
 def test_replies(spark):
-    rows = [("```json\n{\"entities\":[{\"name\":\"A\",\"type\":\"x\"}],\"relationships\":[]}\n```",), ("no json",), (None,), ("so: {\"entities\":[]} end",)]
+    rows = [("```json\n{\"entities\":[{\"name\":\"A\",\"type\":\"Ort\"}],\"relationships\":[]}\n```",), ("no json",), (None,), ("so: {\"entities\":[]} end",)]
     out = spark.createDataFrame(rows, "c string").select(F.size(offline.parse_reply(F.col("c"))["entities"]).alias("n")).collect()
     assert [r.n for r in out] == [1, 0, 0, 0]
 
@@ -131,3 +139,34 @@ def test_fuzzy_candidates_hold_all_alike_names(spark):
     alike = {("c", a, b) for a in names for b in names if a < b and (difflib.SequenceMatcher(None, a, b).ratio() >= 0.85 or a in b or b in a)}
     assert len(alike) > 100 and alike <= got, sorted(alike - got)[:5]
     assert ("c", "barbaar sogometusen", "barbara sgoometusen") in got and all(c == "c" for c, _, _ in got)
+
+
+def test_best_first_is_a_heap(spark):
+    import heapq
+    import random
+
+    from lodestrata.operators import graph
+
+    r = random.Random(2)
+    edges = sorted({(s, f"n{r.randrange(30)}", f"n{r.randrange(30)}") for s in (1, 2) for _ in range(80)})
+    rows = [(*e, hash_of(e[2])) for e in edges]
+    seeds = [(1, "n0", 5), (2, "n1", 5)]
+    want = set()
+    for site, node, priority in seeds:
+        heap, seen, place = [(-priority, 0, 0, node)], set(), 0
+        while heap and place < 15:
+            _, depth, _, x = heapq.heappop(heap)
+            if x in seen:
+                continue
+            seen.add(x)
+            place += 1
+            want.add((site, x, depth, place))
+            for s, a, b, p in rows:
+                if s == site and a == x and b not in seen and depth < 4:
+                    heapq.heappush(heap, (-p, depth + 1, place, b))
+    got = graph.best_first(spark.createDataFrame(rows, "site int, src string, dst string, priority int"), spark.createDataFrame(seeds, "site int, node string, priority int"), 4, 15)
+    assert {tuple(x) for x in got.select("site", "node", "depth", "place").collect()} == want
+
+
+def hash_of(name):
+    return int(name[1:]) * 7 % 5
