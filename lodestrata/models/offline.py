@@ -124,16 +124,20 @@ def judge(question: Column, answer: Column, context: Column) -> Column:
     return F.struct(F.round(overlap(answer, context), 4).alias("faithfulness"), F.round(overlap(question, context), 4).alias("recall"))
 
 
-def to_query(question: Column) -> Column:
-    """Structured query of a question from templates; only reading statements are made."""
-    place = F.regexp_extract(question, r"in (\p{Lu}[\p{L}-]+)", 1)
-    return F.when(F.lower(question).rlike("wie viele|how many"), F.concat(F.lit("SELECT count(*) AS n FROM documents WHERE place = '"), place, F.lit("'"))).otherwise(F.lit("SELECT document_id FROM documents LIMIT 50"))
-
-
 #: Types of entities that a reply may have; others are left out.
 ENTITY_TYPES = ["Akteur", "Dokument", "Infrastruktur", "Konzept/Ziel", "Maßnahme", "Ort"]
 
 
+def counted(asked: DataFrame, question: str, facts: DataFrame) -> DataFrame:
+    """Adds ``n`` to questions of the form "how many documents in a place": counts over ``facts`` (place, document_id), 0 for unknown places.
+
+    The template is filled for all questions at once and run as one join; only reading is possible.
+    """
+    place = F.regexp_extract(F.col(question), r"\bin (\p{Lu}[\p{L}-]+)", 1)
+    per = facts.groupBy("place").agg(F.countDistinct("document_id").alias("n"))
+    return asked.withColumn("place", place).join(per, "place", "left").withColumn("n", F.coalesce("n", F.lit(0))).drop("place")
+
+
 def parse_reply(c: Column) -> Column:
     """Entities and relationships of a model's reply: fences dropped, else the outermost braces taken; empty lists if it can't be read.
 

@@ -13,7 +13,7 @@ from ..models import offline
 from ..functions import lexicon, text
 from ..session import stage_table, table
 from .catalog import query
-from .store import SEG_SQL, chunks, docs, segments
+from .store import DOCS_SQL, SEG_SQL, chunks, docs, segments
 
 
 _HITS = f"len(regexp_extract_all(text, '{lexicon.re2(lexicon.POSITIVE)}'))"
@@ -78,17 +78,39 @@ def agg_route_counts(spark, sf):
     return udf_llm_route(spark, sf).groupBy("route").agg(F.count("*").alias("n"))
 
 
+def _words_sql(c):
+    return f"list_distinct(list_filter(regexp_split_to_array(lower(coalesce({c}, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda w: length(w) > 3))"
+
+
+def _overlap_sql(a, b):
+    return f"CASE WHEN len({_words_sql(a)}) > 0 THEN len(list_intersect({_words_sql(a)}, {_words_sql(b)})) / len({_words_sql(a)}) END"
+
+
+_CLAIM_SQL = f"list_filter(list_transform(regexp_split_to_array(regexp_replace(substring(text, 1, 600), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: len({_words_sql('x')}) >= 3)[1:10]"
+_JUDGE_SQL = f"""{SEG_SQL}, x AS (SELECT segment_id, document_id, heading_context AS q, text FROM seg WHERE heading_context IS NOT NULL AND text IS NOT NULL),
+judged AS (SELECT segment_id, document_id, round({_overlap_sql('substring(text, 1, 200)', 'text')}, 4) AS faithfulness, round({_overlap_sql('q', 'text')}, 4) AS recall FROM x)"""
+
+
 def _judged(spark, sf):
     judged = offline.judge(F.col("heading_context"), F.substring("text", 1, 200), F.col("text")).alias("j")
     return segments(spark, sf, "document_id", judged, where="heading_context is not null and text is not null").select("segment_id", "document_id", "j.*")
 
 
-@query("udf_llm_judge")
+@query("udf_llm_judge", f"WITH {_JUDGE_SQL} SELECT segment_id, document_id, faithfulness, recall FROM judged")
 def udf_llm_judge(spark, sf):
     return _judged(spark, sf)
 
 
-@query("agg_eval_avg")
+@query("udf_llm_claims")
+def udf_llm_claims(spark, sf):
+    """Claims of each passage's beginning and how many of them its heading's document supports in another passage."""
+    s = segments(spark, sf, "document_id", "order_index", "text", where="page_ref is null and text is not null")
+    w = Window.partitionBy("document_id").orderBy("order_index", "segment_id")
+    s = s.withColumn("context", F.lead("text").over(w)).filter("context is not null")
+    return s.select("segment_id", offline.claim_support(F.substring("text", 1, 600), F.col("context")).alias("c")).select("segment_id", "c.*")
+
+
+@query("agg_eval_avg", f"WITH {_JUDGE_SQL} SELECT round(avg(faithfulness), 6) AS faithfulness, round(avg(recall), 6) AS recall, count(recall) AS n FROM judged")
 def agg_eval_avg(spark, sf):
     """Mean scores, rows without a score left out."""
     return _judged(spark, sf).agg(F.round(F.avg("faithfulness"), 6).alias("faithfulness"), F.round(F.avg("recall"), 6).alias("recall"), F.count("recall").alias("n"))
@@ -112,9 +134,41 @@ def agg_winner_tally(spark, sf):
     return join_pairwise_eval(spark, sf).groupBy(F.when(F.col("x") > F.col("y"), "A").when(F.col("y") > F.col("x"), "B").otherwise("tie").alias("winner")).agg(F.count("*").alias("n"))
 
 
-@query("udf_text2query")
+_PLACE_SQL = "p AS (SELECT DISTINCT ags, 'Wie viele Dokumente gibt es in ' || name || '?' AS question, regexp_extract(name, '^(\\p{Lu}[\\p{L}-]+)', 1) AS place FROM municipalities WHERE name IS NOT NULL)"
+
+
+@query("udf_text2query", f"""WITH {DOCS_SQL}, {_PLACE_SQL}, n AS (SELECT regexp_extract(m.name, '^(\\p{{Lu}}[\\p{{L}}-]+)', 1) AS place, count(*) AS n FROM docs d JOIN (SELECT DISTINCT ags, name FROM municipalities WHERE name IS NOT NULL) m ON d.municipality_id = m.ags GROUP BY 1)
+SELECT ags, question, coalesce(n, 0) AS n FROM p LEFT JOIN n USING (place)""".replace("\\\\", "\\"))
 def udf_text2query(spark, sf):
-    return _titles(spark, sf).select("document_id", offline.to_query(F.col("title")).alias("query"))
+    """Questions put as structured queries from a template and answered: all questions of a template run as one join."""
+    m = table(spark, sf, "municipalities").filter("name is not null").select("ags", "name").distinct()
+    asked = m.select("ags", F.concat(F.lit("Wie viele Dokumente gibt es in "), "name", F.lit("?")).alias("question"))
+    place = F.regexp_extract("name", r"^(\p{Lu}[\p{L}-]+)", 1)
+    facts = docs(spark, sf, "municipality_id").join(m.select(F.col("ags").alias("municipality_id"), place.alias("place")), "municipality_id").select("place", "document_id")
+    return offline.counted(asked, "question", facts).select("ags", "question", "n")
+
+
+QUESTIONS = [(1, "Wie viele Dokumente nennen Klimaschutz?"), (2, "Überblick über Wärmeplan und Klimaschutzkonzept"), (3, "Was steht im Haushaltsplan zur Förderung der Schule?"), (4, "Zzzxq Qqxxz?")]
+
+
+@query("qa_answers")
+def qa_answers(spark, sf):
+    """Answers to questions: routed, searched, checked, and asked again for what is missing, at most as often as configured."""
+    from ..config import Config
+    from ..models import answer
+
+    passages_ = segments(spark, sf, "text", where="text is not null and coalesce(is_negative, 0) = 0")
+    return answer.answer(spark.createDataFrame(QUESTIONS, "qid long, question string"), passages_, _district_reports(spark, sf), Config())
+
+
+@query("set_union_all_questions", f"""SELECT DISTINCT kind, question FROM (SELECT 'local' AS kind, 'Was steht in ' || title || '?' AS question FROM (SELECT json_extract_string(meta_json, '$.title') AS title FROM documents_raw WHERE meta_json IS NOT NULL) WHERE title IS NOT NULL
+UNION ALL SELECT 'global', 'Überblick über ' || landkreis FROM municipalities WHERE landkreis IS NOT NULL UNION ALL SELECT 'structured', 'Wie viele Dokumente gibt es in ' || name || '?' FROM municipalities WHERE name IS NOT NULL)""")
+def set_union_all_questions(spark, sf):
+    """Questions of the three kinds as one set."""
+    made = lambda df, kind, before, c, after: df.filter(F.col(c).isNotNull()).select(F.lit(kind).alias("kind"), F.concat(F.lit(before), c, F.lit(after)).alias("question"))
+    m = table(spark, sf, "municipalities")
+    one = made(_titles(spark, sf), "local", "Was steht in ", "title", "?")
+    return one.unionByName(made(m, "global", "Überblick über ", "landkreis", "")).unionByName(made(m, "structured", "Wie viele Dokumente gibt es in ", "name", "?")).distinct()
 
 
 def _similar(batches):
@@ -238,20 +292,32 @@ def udf_llm_reduce(spark, sf):
     return offline.reduce_answers(udf_llm_map(spark, sf))
 
 
-@query("udf_llm_critic")
+@query("udf_llm_critic", f"WITH {_JUDGE_SQL} SELECT segment_id, coalesce({_overlap_sql('q', 'text')} >= 0.5, false) AS supported FROM x")
 def udf_llm_critic(spark, sf):
+    """Whether a passage says enough of what its heading asks for."""
     return segments(spark, sf, offline.critic(F.col("heading_context"), F.col("text")).alias("supported"), where="heading_context is not null and text is not null")
 
 
-@query("fn_vec_pack", "SELECT vec_id, len(embedding) * 4 AS n_bytes FROM embeddings")
+@query("udf_llm_compare", f"""WITH {_JUDGE_SQL}, a AS (SELECT segment_id, coalesce({_overlap_sql('q', 'substring(text, 1, 100)')}, 0) AS oa, len({_words_sql('substring(text, 1, 100)')}) AS wa, coalesce({_overlap_sql('q', 'substring(text, 101, 100)')}, 0) AS ob, len({_words_sql('substring(text, 101, 100)')}) AS wb FROM x)
+SELECT segment_id, CASE WHEN (oa, wa) > (ob, wb) THEN 'A' WHEN (ob, wb) > (oa, wa) THEN 'B' ELSE 'tie' END AS winner FROM a""")
+def udf_llm_compare(spark, sf):
+    """Head to head: which of two parts of a passage answers its heading better."""
+    winner = offline.compare(F.col("heading_context"), F.substring("text", 1, 100), F.substring("text", 101, 100))
+    return segments(spark, sf, winner.alias("winner"), where="heading_context is not null and text is not null")
+
+
+@query("fn_vec_pack", "SELECT vec_id, len(embedding) * 4 AS n_bytes, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 4) AS total FROM embeddings")
 def fn_vec_pack(spark, sf):
-    """Vectors as bytes of 32-bit floats and back; rows that don't survive are left out."""
-    import numpy as np
+    """Vectors as bytes of 32-bit floats and back; the sums are those of what came back."""
+
+    def pack(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.asarray(v, dtype="<f4").tobytes() for v in batch.column(1).to_pylist()], pa.binary())], names=["vec_id", "b"])
 
-    def run(batches):
+    def unpack(batches):
         for batch in batches:
-            packed = [np.asarray(v, dtype="<f4").tobytes() for v in batch.column(1).to_pylist()]
-            same = [np.frombuffer(p, dtype="<f4").tolist() == v for p, v in zip(packed, batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(p) for p in packed], pa.int64())], names=["vec_id", "n_bytes"]).filter(pa.array(same))
+            sums = [float(np.frombuffer(b, dtype="<f4").astype(np.float64).sum()) for b in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(b) for b in batch.column(1).to_pylist()], pa.int64()), pa.array(sums)], names=["vec_id", "n_bytes", "total"])
 
-    return table(spark, sf, "embeddings").select("vec_id", "embedding").mapInArrow(run, "vec_id long, n_bytes long")
+    packed = table(spark, sf, "embeddings").select("vec_id", "embedding").mapInArrow(pack, "vec_id long, b binary")
+    return packed.mapInArrow(unpack, "vec_id long, n_bytes long, total double").withColumn("total", F.round("total", 4))

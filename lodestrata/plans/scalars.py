@@ -255,6 +255,21 @@ def fn_prompt_context(spark, sf):
     return segments(spark, sf, F.concat_ws("\n\n", F.concat(F.lit("Überschrift: "), "heading_context"), F.concat(F.lit("Seite: "), "page_ref"), F.concat(F.lit("Text: "), F.substring("text", 1, 200))).alias("prompt"))
 
 
+@query("fn_prompt_report", """SELECT 'GRUPPE: ' || landkreis || chr(10) || chr(10) || 'ORTE:' || chr(10) || array_to_string(list('  - ' || name ORDER BY name), chr(10)) AS prompt FROM (SELECT DISTINCT landkreis, name FROM municipalities WHERE landkreis IS NOT NULL AND name IS NOT NULL) GROUP BY landkreis""")
+def fn_prompt_report(spark, sf):
+    """Prompt for a report of a group from its members, in order."""
+    m = table(spark, sf, "municipalities").filter("landkreis is not null and name is not null").select("landkreis", "name").distinct()
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list("name")), lambda n: F.concat(F.lit("  - "), n)), "\n")
+    return m.groupBy("landkreis").agg(lines.alias("lines")).select(F.concat_ws("\n", F.concat(F.lit("GRUPPE: "), "landkreis"), F.lit(""), F.lit("ORTE:"), "lines").alias("prompt"))
+
+
+@query("fn_prompt_gleaning", f"WITH {SEG_SQL} SELECT segment_id, concat_ws(chr(10) || chr(10), 'Text: ' || substring(text, 1, 200), 'Gefunden: ' || heading_context, 'Was fehlt noch?') AS prompt FROM seg WHERE text IS NOT NULL")
+def fn_prompt_gleaning(spark, sf):
+    """Second prompt for a segment, with what the first round found."""
+    prompt = F.concat_ws("\n\n", F.concat(F.lit("Text: "), F.substring("text", 1, 200)), F.concat(F.lit("Gefunden: "), "heading_context"), F.lit("Was fehlt noch?"))
+    return segments(spark, sf, prompt.alias("prompt"), where="text is not null")
+
+
 @query("set_word_overlap", f"""WITH {SEG_SQL}, w AS (SELECT segment_id, list_distinct(list_filter(regexp_split_to_array(lower(heading_context), '\\s+'), lambda x: length(x) > 3)) AS h,
  list_distinct(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: length(x) > 3)) AS t FROM seg WHERE heading_context IS NOT NULL AND text IS NOT NULL) SELECT segment_id, len(list_intersect(h, t)) AS overlap FROM w""")
 def set_word_overlap(spark, sf):
