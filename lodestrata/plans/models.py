@@ -235,31 +235,50 @@ def fn_similarity(spark, sf):
     return e.mapInArrow(_similar, "a string, b string, ratio double").withColumn("ratio", F.round("ratio", 4))
 
 
-def _terms(spark, sf):
-    w = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda x: F.char_length(x) >= 3)
-    return segments(spark, sf, "segment_type", "text", where="text is not null").select("segment_type", F.explode(w).alias("term")).groupBy("segment_type", "term").agg(F.count("*").alias("n"))
-
-
-_TERM_SQL = f"{SEG_SQL}, w AS (SELECT segment_type, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}]+'), lambda x: length(x) >= 3)) AS term FROM seg WHERE text IS NOT NULL), t AS (SELECT segment_type, term, count(*) AS n FROM w GROUP BY ALL)"
-
-
-@query("fn_ctfidf", f"""WITH {_TERM_SQL}, a AS (SELECT sum(n) / count(DISTINCT segment_type) AS avg_n FROM t), f AS (SELECT term, sum(n) AS f FROM t GROUP BY 1), c AS (SELECT segment_type, sum(n) AS c FROM t GROUP BY 1)
-SELECT segment_type, term, round(n / c.c * ln(1 + avg_n / f.f), 8) AS weight FROM t JOIN f USING (term) JOIN c USING (segment_type), a WHERE n >= 5""")
+_STOP = ", ".join(repr(w) for w in lexicon.ARTICLES)
+#: Terms of each class (document_type) of documents: runs of one to three words of three letters or more, in at least five and at most 0.95 of the documents.
+_TERM_SQL = f"""w AS (SELECT doc_id, document_type AS topic, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}]+'), lambda x: length(x) >= 3 AND x NOT IN ({_STOP})) AS w FROM documents WHERE text IS NOT NULL AND document_type IS NOT NULL),
+g AS (SELECT doc_id, topic, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]), list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS term FROM w WHERE len(w) > 0),
+df AS (SELECT term, count(DISTINCT doc_id) AS d FROM g GROUP BY 1), k AS (SELECT term FROM df WHERE d >= 5 AND d <= 0.95 * (SELECT count(*) FROM w)),
+t AS (SELECT topic, term, count(*) AS n FROM g WHERE term IN (SELECT term FROM k) GROUP BY ALL), a AS (SELECT sum(n) / count(DISTINCT topic) AS avg_n FROM t), f AS (SELECT term, sum(n) AS f FROM t GROUP BY 1), c AS (SELECT topic, sum(n) AS c FROM t GROUP BY 1),
+weight AS (SELECT topic, term, n, round(n / c.c * ln(1 + avg_n / f.f), 8) AS weight FROM t JOIN f USING (term) JOIN c USING (topic), a)"""
+
+
+def _weights(spark, sf):
+    """(topic, term, n, weight) by class-based tf-idf."""
+    words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda x: (F.char_length(x) >= 3) & ~x.isin(lexicon.ARTICLES))
+    d = table(spark, sf, "documents").filter("text is not null and document_type is not null").select("doc_id", F.col("document_type").alias("topic"), words.alias("w"))
+    run = lambda k: F.when(F.size("w") >= k, F.transform(F.sequence(F.lit(1), F.size("w") - (k - 1)), lambda i: F.array_join(F.slice("w", i, k), " "))).otherwise(F.array().cast("array<string>"))
+    # terms are counted in each document first, so that a document's repeats don't travel
+    per_doc = d.select("doc_id", "topic", F.explode(F.concat("w", run(2), run(3))).alias("term")).groupBy("doc_id", "topic", "term").agg(F.count("*").alias("n"))
+    per_topic = stage_table(per_doc.groupBy("topic", "term").agg(F.sum("n").alias("n"), F.count("*").alias("d")), "terms")
+    most = d.agg((F.count("*") * 0.95).alias("most"))
+    kept = per_topic.groupBy("term").agg(F.sum("d").alias("d"), F.sum("n").alias("f")).crossJoin(F.broadcast(most)).filter("d >= 5 and d <= most").select("term", "f")
+    t = stage_table(per_topic.select("topic", "term", "n").join(kept, "term"), "terms_kept")
+    avg = t.agg((F.sum("n") / F.countDistinct("topic")).alias("avg_n"))
+    weight = F.round(F.col("n") / F.col("c") * F.log(1 + F.col("avg_n") / F.col("f")), 8)
+    return t.join(t.groupBy("topic").agg(F.sum("n").alias("c")), "topic").crossJoin(F.broadcast(avg)).select("topic", "term", "n", weight.alias("weight"))
+
+
+@query("fn_ctfidf", f"WITH {_TERM_SQL} SELECT topic, term, weight FROM weight")
 def fn_ctfidf(spark, sf):
     """Weight of each term for each class of texts."""
-    t = stage_table(_terms(spark, sf), "terms")
-    avg = t.agg((F.sum("n") / F.countDistinct("segment_type")).alias("avg_n"))
-    f, c = t.groupBy("term").agg(F.sum("n").alias("f")), t.groupBy("segment_type").agg(F.sum("n").alias("c"))
-    return t.filter("n >= 5").join(f, "term").join(c, "segment_type").crossJoin(F.broadcast(avg)).select("segment_type", "term", F.round(F.col("n") / F.col("c") * F.log(1 + F.col("avg_n") / F.col("f")), 8).alias("weight"))
+    return _weights(spark, sf).select("topic", "term", "weight")
 
 
-@query("agg_topic_info", f"""WITH {_TERM_SQL} SELECT segment_type, term, rank FROM (SELECT *, row_number() OVER (PARTITION BY segment_type ORDER BY n DESC, term) AS rank FROM t) WHERE rank <= 10""")
+@query("agg_topic_info", f"""WITH {_TERM_SQL} SELECT topic, n_docs, terms FROM (SELECT topic, array_to_string(list(term ORDER BY weight DESC, term), ', ') AS terms FROM (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY weight DESC, term) AS r FROM weight) WHERE r <= 10 GROUP BY 1)
+JOIN (SELECT topic, count(*) AS n_docs FROM w GROUP BY 1) USING (topic)""")
 def agg_topic_info(spark, sf):
-    """Most frequent terms of each class."""
-    from pyspark.sql import Window
+    """Documents and the ten weightiest terms of each topic."""
+    w = Window.partitionBy("topic").orderBy(F.desc("weight"), "term")
+    top = _weights(spark, sf).withColumn("r", F.row_number().over(w)).filter("r <= 10")
+    terms = top.groupBy("topic").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("r", "term"))), lambda x: x["term"]), ", ").alias("terms"))
+    n = table(spark, sf, "documents").filter("text is not null and document_type is not null").groupBy(F.col("document_type").alias("topic")).agg(F.count("*").alias("n_docs"))
+    return terms.join(n, "topic").select("topic", "n_docs", "terms")
+
 
-    w = Window.partitionBy("segment_type").orderBy(F.desc("n"), "term")
-    return _terms(spark, sf).withColumn("rank", F.row_number().over(w)).filter("rank <= 10").select("segment_type", "term", "rank")
+#: Topics looked for, the least size of one, and the cosine from which two are one.
+TOPICS, LEAST_TOPIC, ALIKE_TOPICS = 24, 25, 0.9
 
 
 @query("udf_topic")
@@ -270,10 +289,25 @@ def udf_topic(spark, sf):
 
     usable = chunks(spark, sf, "embedding", where="embedding is not null and size(embedding) = 64 and not exists(embedding, x -> isnan(x))").select("chunk_id", array_to_vector("embedding").alias("features"))
     usable = stage_table(usable, "topic_vectors")
-    if usable.limit(9).count() < 9:
+    if usable.limit(TOPICS + 1).count() <= TOPICS:
         return usable.select("chunk_id", F.lit(0).alias("topic"))
-    model = KMeans(k=8, seed=7, maxIter=10).fit(usable)
-    return model.transform(usable).select("chunk_id", F.col("prediction").alias("topic"))
+    model = KMeans(k=TOPICS, seed=7, maxIter=10).fit(usable)
+    found = stage_table(model.transform(usable).select("chunk_id", F.col("prediction").alias("topic")), "topics")
+    # the centres are TOPICS vectors; small topics and those alike join the most similar larger one
+    sizes = {r.topic: r.n for r in found.groupBy("topic").agg(F.count("*").alias("n")).collect()}
+    centres = np.array(model.clusterCenters())
+    centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
+    to = {}
+    for t in sorted(sizes, key=lambda t: (sizes[t], t)):
+        larger = [x for x in sizes if (sizes[x], x) > (sizes[t], t)]
+        near = max(larger, key=lambda x: centres[t] @ centres[x], default=None)
+        if near is not None and (sizes[t] < LEAST_TOPIC or centres[t] @ centres[near] >= ALIKE_TOPICS):
+            to[t] = near
+    for t in to:
+        while to[t] in to:
+            to[t] = to[to[t]]
+    pairs = F.create_map(*[F.lit(x) for t, u in to.items() for x in (t, u)]) if to else None
+    return found if pairs is None else found.withColumn("topic", F.coalesce(pairs[F.col("topic")], F.col("topic")))
 
 
 def _district_reports(spark, sf):
