@@ -387,12 +387,13 @@ def win_heading(spark, sf):
     return s.select("segment_id", F.last("own", ignorenulls=True).over(w).alias("heading"))
 
 
-@query("win_heading_path", """WITH h AS (SELECT l_orderkey AS doc, l_linenumber AS ord, CAST(l_quantity AS INTEGER) % 6 + 1 AS level, 'P' || l_partkey AS text FROM lineitem),
-s AS (SELECT i.doc, i.ord, j.ord AS place, j.text FROM h i JOIN h j ON i.doc = j.doc AND j.ord <= i.ord AND NOT EXISTS (SELECT 1 FROM h k WHERE k.doc = i.doc AND k.ord > j.ord AND k.ord <= i.ord AND k.level <= j.level))
-SELECT doc, ord, array_to_string(list(text ORDER BY place), ' > ') AS path FROM s GROUP BY ALL""")
+@query("win_heading_path", """WITH h AS (SELECT l_orderkey AS doc, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS ord, {'level': CAST(l_quantity AS INTEGER) % 6 + 1, 'text': 'P' || l_partkey} AS h FROM lineitem),
+l AS (SELECT doc, ord, list(h) OVER (PARTITION BY doc ORDER BY ord) AS l FROM h)
+SELECT doc, ord, array_to_string(list_transform(list_filter(l, lambda x, i: len(list_filter(l[i + 1 :], lambda y: y.level <= x.level)) = 0), lambda x: x.text), ' > ') AS path FROM l""")
 def win_heading_path(spark, sf):
     """Breadcrumb of every line; the lines of an order stand in for headings of six levels."""
-    h = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("doc"), F.col("l_linenumber").alias("ord"), (F.col("l_quantity").cast("int") % 6 + 1).alias("level"), F.concat(F.lit("P"), "l_partkey").alias("text"))
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+    h = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("doc"), place.alias("ord"), (F.col("l_quantity").cast("int") % 6 + 1).alias("level"), F.concat(F.lit("P"), "l_partkey").alias("text"))
     return passages.heading_paths(h, "doc", "ord", "level", "text").select("doc", "ord", "path")
 
 
