@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage_table
+from ..session import drop_table, stage_table
 from . import words
 
 #: Pages of a host in one stream.
@@ -228,7 +228,11 @@ FEATURES = "item string, doc long, dense binary, buckets binary, frame_lines arr
 
 
 def _streams(df: DataFrame) -> DataFrame:
-    """``STREAM``, one row for each stream, of the distinct rows of (item, doc, host, ord, kind, text, no_context); the texts are shuffled once."""
+    """``STREAM``, one row for each stream, of the distinct rows of (item, doc, host, ord, kind, text, no_context); the texts are shuffled once.
+
+    The staged table is bucketed as its rows lie, so that the counts come to the
+    streams and no stream is moved again.
+    """
     pages = df.select("host", "doc").distinct().groupBy("host").agg(F.count("*").alias("host_pages"))
     pages = stage_table(pages.select(F.coalesce("host", F.lit("\u0000")).alias("host"), "host_pages", F.ceil(F.col("host_pages") / F.lit(PAGES)).cast("int").alias("parts")), "host_pages")
     n = pages.agg(F.sum("parts")).first()[0] or 1
@@ -254,7 +258,8 @@ def _streams(df: DataFrame) -> DataFrame:
         kinds = {"block": pa.int32(), "parts": pa.int32(), "host_pages": pa.int64(), "item": pa.list_(pa.string()), "doc": pa.list_(pa.int64()), "buckets": pa.list_(pa.binary())}
         return pa.table({k: pa.array([v], kinds.get(k, pa.string() if k == "host" else pa.binary())) for k, v in row.items()})
 
-    return placed.select("host", "block", *cols).repartition(partitions, "host", "block").groupBy("host", "block").applyInArrow(block, STREAM)
+    made = placed.select("host", "block", *cols).repartition(partitions, "host", "block").groupBy("host", "block").applyInArrow(block, STREAM)
+    return stage_table(made, "page_streams", bucketBy=(partitions, ["host", "block"]))
 
 
 class Units:
@@ -349,8 +354,8 @@ def repetition(row: dict) -> tuple[np.ndarray, list[list[int]]]:
 
 
 def segment_features(df: DataFrame) -> DataFrame:
-    """``FEATURES`` of each distinct row of (item, doc, host, ord, kind, text, no_context)."""
-    streams = stage_table(_streams(df), "page_streams")
+    """``FEATURES`` of each distinct row of (item, doc, host, ord, kind, text, no_context), staged."""
+    streams = _streams(df)
     counts = stage_table(_host_counts(streams), "host_counts")
 
     def run(batches):
@@ -363,7 +368,9 @@ def segment_features(df: DataFrame) -> DataFrame:
                 )
 
     with_counts = streams.join(counts, ["host", "block"], "left")
-    return with_counts.mapInArrow(run, FEATURES)
+    found = stage_table(with_counts.mapInArrow(run, FEATURES), "page_features", replaces=streams)
+    drop_table(counts)
+    return found
 
 
 class Model:
@@ -419,7 +426,7 @@ def main_scores(df: DataFrame, labels: DataFrame) -> DataFrame:
 
     ``labels`` has (item, label); of an item labelled twice the greater counts.
     """
-    found = stage_table(segment_features(df), "page_features")
+    found = segment_features(df)
     # bounded by MAX_LABELLED rows of two small columns
     wanted = labels.filter("item is not null and label is not null").groupBy("item").agg(F.max("label").alias("label")).orderBy(F.xxhash64("item")).limit(MAX_LABELLED)
     sample = found.join(F.broadcast(wanted), "item").select("item", "label", "dense", "buckets").orderBy("item").toArrow()

@@ -64,6 +64,25 @@ def test_counts_cover_the_whole_host(spark, monkeypatch):
     assert found[0]["s00a"][1] == [1] and found[0]["s01a"][1] == [] and found[0]["s14b"][0][3] > 0.6
 
 
+def test_streams_are_not_moved_for_their_counts(spark, monkeypatch):
+    """Where the counts are too large to be sent to every task, they alone are shuffled to the streams."""
+    monkeypatch.setattr(mb, "PAGES", 4)
+    plans, stage = {}, mb.stage_table
+
+    def staged(df, label, *args, **kwargs):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(df, label, *args, **kwargs)
+
+    monkeypatch.setattr(mb, "stage_table", staged)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert mb.segment_features(spark.createDataFrame(pages(False), SCHEMA)).count() == 162
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plans["page_features"].count("Exchange hashpartitioning") == 1
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("page_streams")]
+
+
 def name(*n):
     return "".join(chr(97 + x // 26) + chr(97 + x % 26) for x in n)
 
