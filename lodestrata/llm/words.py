@@ -81,19 +81,6 @@ def shingle_hashes(word: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.nda
     return mix(h), at, offs
 
 
-def min_hashes(h: np.ndarray, offs: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    """Least seeded hash of each text, a row for each text; texts without any have the greatest value."""
-    out = np.full((len(offs) - 1, len(seeds)), np.iinfo(np.uint64).max, dtype=np.uint64)
-    some = np.flatnonzero(np.diff(offs) > 0)
-    if len(some):
-        for j, s in enumerate(seeds):
-            x = (h ^ s) * K2
-            x ^= x >> np.uint64(31)
-            x *= K3
-            out[some, j] = np.minimum.reduceat(x, offs[:-1][some])
-    return out
-
-
 def seeds(n: int) -> np.ndarray:
     """n fixed seeds."""
     return mix(np.arange(1, n + 1, dtype=np.uint64) * K1)
